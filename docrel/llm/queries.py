@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, linededup, mixing, simhash, toxicity
+from . import decontam, fingerprints, langid, linededup, mixing, pii, secret_scan, simhash, suffixdedup, toxicity
 from .common import crc_mod, read
 
 
@@ -13,6 +13,20 @@ def _sha(text) -> object:
     return F.sha2(text.cast("binary"), 256)
 
 
+def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    samples = secret_scan.labelled_samples() + secret_scan.corpus_samples(docs)
+    out = secret_scan.scan(docs, secret_scan.Markov(samples))
+    text = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+    base = F.filter("spans", lambda s: s["kind"] != "random")
+    return out.select("doc_id", "n_assign", "n_access", "n_hex", _sha(text(base)).alias("base_sha256"), text(F.col("spans")).alias("spans"), "n_random")
+
+
+def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = fingerprints.compare_with_next(read(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next")
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     scorer = toxicity.fit(docs, read(spark, sf_dir, "labels"))
@@ -21,6 +35,12 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held.alias("held_out"), "score", "predicted")
 
 
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = pii.find(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    counts = [F.size(k).cast("long").alias(f"n_{k}") for k in pii.KINDS]
+    return out.select("doc_id", *counts, _sha(pii.joined(*pii.KINDS)).alias("base_sha256"), pii.joined(*pii.KINDS, "term").alias("spans"), F.size("term").cast("long").alias("n_term"))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents"))
 
@@ -47,6 +67,11 @@ FROM marked GROUP BY r, doc_id
 """
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffixdedup.suffix_dedup(read(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, benchmark = read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")
     out = decontam.matches(docs.select("doc_id", "text"), benchmark)
@@ -71,11 +96,24 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
 FROM d LEFT JOIN pos USING (r) LEFT JOIN its USING (r)
 """
 
+
+
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    out = langid.predict(docs.select("doc_id", "text"), langid.fit(docs))
+    return out.select("doc_id", F.coalesce(crc_mod("doc_id", 4) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score", "rejected")
+
+
 QUERIES = {
+    "op1_secrets": op1_secrets,
+    "op2_fingerprints": op2_fingerprints,
     "op3_toxicity": op3_toxicity,
+    "op4_pii": op4_pii,
     "op5_mixing": op5_mixing,
     "op6_simhash": op6_simhash,
     "op7_line_dedup": op7_line_dedup,
+    "op8_suffix_dedup": op8_suffix_dedup,
     "op9_decontamination": op9_decontamination,
+    "op10_language": op10_language,
 }
 ORACLE_SQL = {"op5_mixing": mixing.oracle(), "op7_line_dedup": OP7_SQL, "op9_decontamination": OP9_SQL}
