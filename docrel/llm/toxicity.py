@@ -50,6 +50,14 @@ def pattern_votes(text: str | None) -> list[str]:
     return [n for n, p in _PATTERNS.items() if p.search(text)] + [n for n, x in LEXICONS.items() if not words.isdisjoint(x.split())]
 
 
+def _shares(z: np.ndarray) -> np.ndarray:
+    """One over one plus a voter's correlations above 0.3 with the others; z: votes less what is expected of them."""
+    z = z / np.sqrt((z * z).mean(axis=0) + 1e-6)
+    corr = np.clip(z.T @ z / max(len(z), 1), -1, 1)
+    np.fill_diagonal(corr, 0)
+    return 1 / (1 + np.where(corr > 0.3, corr, 0).sum(axis=1))
+
+
 def label_model(votes: np.ndarray, rounds: int = 40, prior: float = 0.1) -> tuple[np.ndarray, dict]:
     """Posterior of y = 1 for rows of votes in {-1, 0, 1}, and the model.
 
@@ -58,10 +66,10 @@ def label_model(votes: np.ndarray, rounds: int = 40, prior: float = 0.1) -> tupl
     about once.
     """
     n, k = votes.shape
-    start = votes.sum(axis=1)
+    share = _shares(votes.astype(np.float32) - votes.mean(axis=0, dtype=np.float32))  # before classes are known
+    start = votes @ share
     post = np.where(start > 0, 0.9, np.where(start < 0, 0.02, prior))
-    seen = [(votes == v).astype(np.float64) for v in (-1, 0, 1)]
-    share, model = np.ones(k), {}
+    seen = [(votes == v).astype(np.float32) for v in (-1, 0, 1)]
     for step in range(rounds):
         mass = np.array([(1 - post).sum(), post.sum()]) + 1e-9
         table = np.empty((2, 3, k))
@@ -70,10 +78,7 @@ def label_model(votes: np.ndarray, rounds: int = 40, prior: float = 0.1) -> tupl
         table /= table.sum(axis=1, keepdims=True)
         if step % 10 == 0:
             z = votes - (post[:, None] * (table[1, 2] - table[1, 0])[None] + (1 - post)[:, None] * (table[0, 2] - table[0, 0])[None])
-            z = z / np.sqrt((z * z).mean(axis=0) + 1e-6)
-            corr = np.clip(z.T @ z / n, -1, 1)
-            np.fill_diagonal(corr, 0)
-            share = 1 / (1 + np.where(corr > 0.3, corr, 0).sum(axis=1))
+            share = _shares(z.astype(np.float32)) if step else share
         ratio = np.log(table[1]) - np.log(table[0])
         logit = math.log(mass[1] / mass[0]) + sum(seen[v] @ (ratio[v] * share) for v in range(3))
         new = 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
@@ -81,10 +86,19 @@ def label_model(votes: np.ndarray, rounds: int = 40, prior: float = 0.1) -> tupl
         post = new
         if done:
             break
-    model = {"table": table, "share": share, "corr": corr, "accuracy": (post @ (votes > 0) + (1 - post) @ (votes < 0)) / np.maximum(np.abs(votes).sum(axis=0), 1)}
+    model = {"table": table, "share": share, "accuracy": (post @ (votes > 0) + (1 - post) @ (votes < 0)) / np.maximum(np.abs(votes).sum(axis=0), 1)}
     return post, model
 
 
+def _lists(column) -> list[np.ndarray]:
+    """An Arrow column of lists of whole numbers as arrays."""
+    out = []
+    for c in column.chunks:
+        flat, at = c.values.to_numpy(), c.offsets.to_numpy()
+        out += [flat[a:b].astype(np.int64) for a, b in zip(at, at[1:], strict=False)]
+    return out
+
+
 def linear(rows: list[np.ndarray], target: np.ndarray, n_features: int, epochs: int = 12, rate: float = 0.5, l2: float = 1e-6, seed: int = 7) -> tuple[np.ndarray, float]:
     """Logistic regression on sets of features by AdaGrad over mini-batches, with soft targets."""
     w, bias, gw, gb = np.zeros(n_features), -2.0, np.full(n_features, 1e-2), 1.0
@@ -164,20 +178,30 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_SAMPLE) -> Score
     kept = seen.withColumn("lift", lift).orderBy(F.desc(F.abs("lift") * F.sqrt("n")), "f").limit(MAX_FEATURES).collect()
     index = {r.f: i for i, r in enumerate(kept)}
     strong = [r.f for r in kept if r.lift > 2.5 and r.t >= MIN_DOCS][:MAX_VOTERS]
-    spots = {f: i for i, f in enumerate(strong)}
-    names = {n: len(strong) + i for i, n in enumerate([*_PATTERNS, *LEXICONS])}
-    rows, votes, gold = [], [], []
-    for r in sorted(found.toLocalIterator(), key=lambda r: r.doc_id):
-        rows.append(np.array([index[f] for f in r.f if f in index], dtype=np.int64))
-        v = np.zeros(len(strong) + len(names) + 2, dtype=np.int8)
-        on = [spots[f] for f in r.f if f in spots]
+    names = {n: i for i, n in enumerate([*_PATTERNS, *LEXICONS])}
+    del kept
+    sent = docs.sparkSession.sparkContext.broadcast((index, names))
+
+    def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        number, named = sent.value
+        for pdf in batches:
+            yield pd.DataFrame({"doc_id": pdf["doc_id"], "toxic": pdf["toxic"], "f": [[number[x] for x in f if x in number] for f in pdf["f"]], "p": [[named[x] for x in p] for p in pdf["p"]]})
+
+    # numbers of at most MAX_FEATURES features for max_rows documents
+    table = found.mapInPandas(encode, "doc_id long, toxic int, f array<int>, p array<int>").orderBy("doc_id", F.xxhash64("f")).toArrow()
+    toxic = table["toxic"].to_numpy()
+    rows = _lists(table["f"])
+    spot = np.full(len(index), -1, dtype=np.int64)
+    spot[[index[f] for f in strong]] = np.arange(len(strong))
+    votes = np.zeros((len(rows), len(strong) + len(names) + 2), dtype=np.int8)
+    for v, f, p, y in zip(votes, rows, _lists(table["p"]), toxic, strict=True):
+        on = spot[f]
+        on = on[on >= 0]
         v[on] = 1
-        v[[names[p] for p in r.p]] = 1
-        v[-2] = 0 if on else -1  # nothing on any lexicon: clean
-        v[-1] = 1 if r.toxic else -1  # the mark, as one more voter
-        votes.append(v)
-        gold.append(r.toxic)
-    post, _ = label_model(np.array(votes))
+        v[p + len(strong)] = 1
+        v[-2] = 0 if len(on) else -1  # nothing on any lexicon: clean
+        v[-1] = 1 if y else -1  # the mark, as one more voter
+    post, _ = label_model(votes)
     w, bias = linear(rows, post, len(index))
     raw = np.array([w[r].sum() for r in rows]) + bias
     # threshold at the middle of the gap that serves the posteriors best
