@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,9 +22,9 @@ from .common import crc_mod, stage, text_batches
 #: Rows of documents, at most, that the models are fitted on: labelled ones first by a hash of doc_id.
 MAX_SAMPLE = 12_000
 #: Features kept for the voters and the classifier, at most.
-MAX_VOTERS, MAX_FEATURES = 400, 60_000
-#: Sample documents a feature must be in.
-MIN_DOCS = 4
+MAX_VOTERS, MAX_FEATURES = 300, 40_000
+#: Sample documents a feature must be in, and standard errors by which its shares in the two classes must differ.
+MIN_DOCS, MIN_Z = 4, 3.5
 THRESHOLD = 0.7
 STEMS = (4, 5, 6)
 
@@ -38,9 +39,10 @@ _PATTERNS = {"shout": re.compile(r"(?:\b[A-Z]{3,}\b[\s!]*){4}"), "address": re.c
 
 
 def features(text: str | None) -> set[str]:
-    """Distinct lower-case words (w:) and word beginnings (s:)."""
+    """Distinct lower-case words (w:) and word beginnings by how many distinct words have them (1:, 2:, 3: and more)."""
     words = set(_WORD.findall((text or "").lower()))
-    return {"w:" + w for w in words} | {f"s:{w[:n]}" for w in words for n in STEMS if len(w) > n}
+    stems = Counter(w[:n] for w in words for n in STEMS if len(w) > n)
+    return {"w:" + w for w in words} | {f"{k}:{s}" for s, n in stems.items() for k in range(1, min(n, 3) + 1)}
 
 
 def pattern_votes(text: str | None) -> list[str]:
@@ -58,15 +60,17 @@ def _shares(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.where(corr > 0.3, corr, 0).sum(axis=1))
 
 
-def label_model(votes: np.ndarray, rounds: int = 40, prior: float = 0.1) -> tuple[np.ndarray, dict]:
+def label_model(votes: np.ndarray, rounds: int = 40, prior: float = 0.1, trusted: int | None = None) -> tuple[np.ndarray, dict]:
     """Posterior of y = 1 for rows of votes in {-1, 0, 1}, and the model.
 
     Each voter has P(vote | y). The E step sums log-likelihood ratios; a voter's ratio is divided by one plus the sum of
     its positive correlations, within classes, with the voters it agrees with, so that a family of voters that repeat each other counts
-    about once.
+    about once. A trusted voter's ratio is not divided.
     """
     n, k = votes.shape
     share = _shares(votes.astype(np.float32) - votes.mean(axis=0, dtype=np.float32))  # before classes are known
+    if trusted is not None:
+        share[trusted] = 1
     start = votes @ share
     post = np.where(start > 0, 0.9, np.where(start < 0, 0.02, prior))
     seen = [(votes == v).astype(np.float32) for v in (-1, 0, 1)]
@@ -79,6 +83,8 @@ def label_model(votes: np.ndarray, rounds: int = 40, prior: float = 0.1) -> tupl
         if step % 10 == 0:
             z = votes - (post[:, None] * (table[1, 2] - table[1, 0])[None] + (1 - post)[:, None] * (table[0, 2] - table[0, 0])[None])
             share = _shares(z.astype(np.float32)) if step else share
+            if trusted is not None:
+                share[trusted] = 1
         ratio = np.log(table[1]) - np.log(table[0])
         logit = math.log(mass[1] / mass[0]) + sum(seen[v] @ (ratio[v] * share) for v in range(3))
         new = 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
@@ -99,7 +105,7 @@ def _lists(column) -> list[np.ndarray]:
     return out
 
 
-def linear(rows: list[np.ndarray], target: np.ndarray, n_features: int, epochs: int = 12, rate: float = 0.5, l2: float = 1e-6, seed: int = 7) -> tuple[np.ndarray, float]:
+def linear(rows: list[np.ndarray], target: np.ndarray, n_features: int, epochs: int = 12, rate: float = 0.5, l2: float = 1e-5, seed: int = 7) -> tuple[np.ndarray, float]:
     """Logistic regression on sets of features by AdaGrad over mini-batches, with soft targets."""
     w, bias, gw, gb = np.zeros(n_features), -2.0, np.full(n_features, 1e-2), 1.0
     rng = np.random.default_rng(seed)
@@ -132,15 +138,19 @@ class Scorer:
         self.weights, self.bias, self.scale, self.shift, self._memo = weights, bias, scale, shift, {}
 
     def raw(self, text: str | None) -> float:
-        memo, on = self._memo, set()
-        for t in set(_WORD.findall((text or "").lower())):
-            f = memo.get(t)
-            if f is None:
-                f = tuple(x for x in ("w:" + t, *(f"s:{t[:n]}" for n in STEMS if len(t) > n)) if x in self.weights)
+        memo, weights, total, stems = self._memo, self.weights, self.bias, {}
+        for t in sorted(set(_WORD.findall((text or "").lower()))):
+            known = memo.get(t)
+            if known is None:
+                known = (weights.get("w:" + t, 0.0), tuple(t[:n] for n in STEMS if len(t) > n and any(f"{k}:{t[:n]}" in weights for k in (1, 2, 3))))
                 if len(memo) < 200_000:
-                    memo[t] = f
-            on.update(f)
-        return self.bias + sum(self.weights[x] for x in sorted(on))
+                    memo[t] = known
+            total += known[0]
+            for x in known[1]:
+                k = stems[x] = stems.get(x, 0) + 1
+                if k <= 3:
+                    total += weights.get(f"{k}:{x}", 0.0)
+        return total
 
     def score(self, text: str | None) -> float:
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, self.scale * self.raw(text) + self.shift))))
@@ -174,10 +184,11 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_SAMPLE) -> Score
     n_all, n_toxic = found.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     if not n_all or not 0 < n_toxic < n_all:
         return Scorer({f"w:{w}": 4.0 for x in LEXICONS.values() for w in x.split()}, -2.0)
-    lift = F.log((F.col("t") + 0.5) / (n_toxic + 1)) - F.log((F.col("n") - F.col("t") + 0.5) / (n_all - n_toxic + 1))
-    kept = seen.withColumn("lift", lift).orderBy(F.desc(F.abs("lift") * F.sqrt("n")), "f").limit(MAX_FEATURES).collect()
+    n, t, clean = F.col("n"), F.col("t"), n_all - n_toxic
+    apart = (t / n_toxic - (n - t) / clean) / F.sqrt(n / n_all * (1 - n / n_all) * (1 / n_toxic + 1 / clean) + 1e-12)
+    kept = seen.withColumn("z", apart).where(F.abs("z") >= MIN_Z).orderBy(F.desc(F.abs("z")), "f").limit(MAX_FEATURES).collect()
     index = {r.f: i for i, r in enumerate(kept)}
-    strong = [r.f for r in kept if r.lift > 2.5 and r.t >= MIN_DOCS][:MAX_VOTERS]
+    strong = [r.f for r in kept if r.z > 0 and r.t >= 0.9 * r.n][:MAX_VOTERS]
     names = {n: i for i, n in enumerate([*_PATTERNS, *LEXICONS])}
     del kept
     sent = docs.sparkSession.sparkContext.broadcast((index, names))
@@ -201,7 +212,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_SAMPLE) -> Score
         v[p + len(strong)] = 1
         v[-2] = 0 if len(on) else -1  # nothing on any lexicon: clean
         v[-1] = 1 if y else -1  # the mark, as one more voter
-    post, _ = label_model(votes)
+    post, _ = label_model(votes, trusted=-1)
     w, bias = linear(rows, post, len(index))
     raw = np.array([w[r].sum() for r in rows]) + bias
     # threshold at the middle of the gap that serves the posteriors best
