@@ -1,0 +1 @@
+"""Column functions: text, numbers, dates, brands and types."""

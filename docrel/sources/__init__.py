@@ -1,0 +1 @@
+"""Readers, the HTML grid parser, sinks and the provider protocol."""
