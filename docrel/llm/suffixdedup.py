@@ -308,7 +308,8 @@ def suffix_dedup(docs: DataFrame) -> DataFrame:
                 yield pd.DataFrame(rows, columns=["r", "c", "data"])
 
     told = stage(chunks.mapInPandas(announce, "r int, c long, data binary"))
-    sample = sorted(bytes(s.data) for s in told.where("r = -1").orderBy(F.xxhash64("c", "data")).limit(SAMPLES * ranges).collect())
+    # ends are K-grams: suffixes that share one may share a string, and so must meet in one range
+    sample = sorted(bytes(s.data)[:K] for s in told.where("r = -1").orderBy(F.xxhash64("c", "data")).limit(SAMPLES * ranges).collect())
     ends = [sample[i * len(sample) // ranges] for i in range(1, ranges)] if sample else []
 
     def shared(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
