@@ -12,7 +12,7 @@ from ..functions import numbers as N
 from ..functions import patterns as P
 from ..functions import products as PR
 from ..functions import text as TX
-from ..operators import extract, link, merge, validate
+from ..operators import evidence, extract, link, merge, validate, window
 from ..sources import html as H
 from ..sources import readers
 from ..streaming import incremental
@@ -680,3 +680,54 @@ def scored_row_match(spark, d):
     products = p.select(F.col("p_brand").alias("doc"), F.col("p_partkey").alias("product_id"), F.concat_ws(" ", "p_name", "p_type").alias("product"), F.concat(F.lit("mod"), "p_partkey").alias("model"), F.col("p_size").cast("double").alias("quantity"), (F.col("p_partkey") % 2 == 0).alias("supported"))
     rows = p.where("p_partkey % 10 = 0").select(F.col("p_brand").alias("doc"), F.col("p_partkey").alias("row_id"), F.concat_ws(" ", "p_name", "p_type", F.concat(F.lit("mod"), "p_partkey")).alias("description"), F.col("p_size").cast("double").alias("quantity"))
     return link.score_rows(rows, products, ["doc"])
+
+
+@query("SELECT conv_id, turn, CASE WHEN role = 'user' THEN text END IS NULL AS carried, md5(last_value(CASE WHEN role = 'user' THEN text END IGNORE NULLS) OVER (PARTITION BY conv_id ORDER BY turn ROWS UNBOUNDED PRECEDING)) AS header FROM conversations")
+def header_carry_forward(spark, d):
+    """The last user turn up to each turn."""
+    c = _t(spark, d, "conversations").withColumn("own", F.when(F.col("role") == "user", F.col("text")))
+    return window.carry_forward(c, ["conv_id"], ["turn"], "own").select("conv_id", "turn", F.col("own").isNull().alias("carried"), F.md5("header").alias("header"))
+
+
+@query("SELECT t.conv_id, t.turn AS target, c.turn, md5(c.text) AS h FROM conversations t JOIN conversations c ON t.conv_id = c.conv_id AND c.turn BETWEEN t.turn - 2 AND t.turn + 2 WHERE t.role = 'assistant'")
+def context_rows(spark, d):
+    """Two turns on either side of each answer."""
+    c = _t(spark, d, "conversations")
+    return window.context(c.select("conv_id", "turn", F.md5("text").alias("h")), c.where("role = 'assistant'"), ["conv_id"], "turn").select("conv_id", "target", "turn", "h")
+
+
+@query("SELECT p_brand, p_partkey, row_number() OVER (PARTITION BY p_brand ORDER BY CASE p_partkey % 3 WHEN 0 THEN 0 WHEN 1 THEN 1 ELSE 2 END, lower(f), f) AS rank FROM (SELECT *, CASE p_partkey % 3 WHEN 0 THEN 'Precio' WHEN 1 THEN 'ficha' ELSE 'acta' END || CAST(p_partkey AS VARCHAR) AS f FROM part)")
+def file_priority(spark, d):
+    """Files of a supplier by kind, then by name."""
+    f = F.concat(F.element_at(F.array(F.lit("Precio"), F.lit("ficha"), F.lit("acta")), (F.col("p_partkey") % 3 + 1).cast("int")), F.col("p_partkey").cast("string"))
+    return window.by_priority(_t(spark, d, "part").withColumn("file", f), ["p_brand"]).select("p_brand", "p_partkey", F.col("rank").cast("long").alias("rank"))
+
+
+@query("SELECT doc_id, md5(upper(text)) AS h, len(text) AS n FROM documents WHERE source IN ('src1', 'src2') AND lang <> 'de' AND contains(lower(text), 'the')")
+def multi_filter(spark, d):
+    """Several optional predicates, all of which must hold."""
+    wanted = {"source": F.col("source").isin("src1", "src2"), "lang": F.col("lang") != "de", "state": None, "search": F.contains(F.lower("text"), F.lit("the"))}
+    out = _t(spark, d, "documents")
+    for p in wanted.values():
+        out = out if p is None else out.where(p)
+    return out.select("doc_id", F.md5(F.upper("text")).alias("h"), F.length("text").cast("long").alias("n"))
+
+
+@query("SELECT r_name, n_name, c_mktsegment, count(*) AS n, bool_or(c_acctbal > 9000) AS any_rich, bool_and(c_acctbal > -500) AS all_fine FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY ALL")
+def group_guards(spark, d):
+    """Any-of and all-of guards by group. Nation and region are fixed lists."""
+    c, n, r = _t(spark, d, "customer", "nation", "region")
+    places = n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey)
+    x = c.join(F.broadcast(places), c.c_nationkey == places.n_nationkey)
+    return x.groupBy("r_name", "n_name", "c_mktsegment").agg(F.count("*").alias("n"), F.max(F.col("c_acctbal") > 9000).alias("any_rich"), F.min(F.col("c_acctbal") > -500).alias("all_fine"))
+
+
+@query()
+def evidence_flow(spark, d):
+    """Audit, coverage and evidence rows of the products of the fixture blocks."""
+    key = ["tender", "supplier"]
+    found = extraction_flow(spark, d).select("tender", "supplier", "seq", "product", "brand", "model", "category", "type", "quantity", "unit", "total", "file", "price_file", "sources", "state")
+    none = spark.createDataFrame([], "tender string, supplier string")
+    out = evidence.coverage(evidence.audit(found, _blocks(spark), key), _blocks(spark), none, key)
+    best = evidence.evidence_row(found, _blocks(spark), key).select(*key, "seq", F.col("line_no").alias("seen_line"), "score")
+    return out.join(best, [*key, "seq"], "left").select(*key, "seq", "product", "level", "reasons", "missing", "verdict", "seen_line", "score")
