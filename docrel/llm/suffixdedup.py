@@ -42,8 +42,8 @@ _POW = {n: np.uint64(pow(_BASE, n, 1 << 64)) for n in (1, 2, 4, 8)}
 _HASH_BITS = 48
 
 
-def _pack(x) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(pickle.dumps(x, protocol=5))
+def _pack(x, level: int = 3) -> bytes:
+    return zstandard.ZstdCompressor(level=level).compress(pickle.dumps(x, protocol=5))
 
 
 def _unpack(b: bytes):
@@ -142,7 +142,7 @@ def encode_run(items: list[tuple[bytes, bytes]], keys: list[int]) -> bytes:
     a = np.frombuffer(b"".join(s.ljust(LENGTH, b"\0") for s, _ in items), np.uint8).reshape(-1, LENGTH)
     lcp = np.zeros(len(items), np.uint8)
     if len(items) > 1:
-        lcp[1:] = np.minimum((a[1:] == a[:-1]).cumprod(axis=1).sum(axis=1), np.minimum(lens[1:], lens[:-1]))
+        lcp[1:] = np.minimum((a[1:] == a[:-1]).cumprod(axis=1, dtype=np.uint8).sum(axis=1), np.minimum(lens[1:], lens[:-1]))
     rest = b"".join(s[n:] for (s, _), n in zip(items, lcp.tolist(), strict=True))
     return _pack((lens.tobytes(), lcp.tobytes(), rest, bytes(len(c) for _, c in items), b"".join(c for _, c in items), _planes(np.array(keys, dtype=np.int64).view(np.uint64))))
 
@@ -240,7 +240,7 @@ def masks(runs: list[Run]) -> list[np.ndarray]:
     by_left = np.argsort(np.ascontiguousarray(a).view(f"V{LEFT}").ravel(), kind="stable") if n else np.empty(0, np.int64)
     near = np.zeros(n, np.int64)
     if n > 1:
-        near[1:] = (a[by_left[1:]] == a[by_left[:-1]]).cumprod(axis=1).sum(axis=1)
+        near[1:] = (a[by_left[1:]] == a[by_left[:-1]]).cumprod(axis=1, dtype=np.uint8).sum(axis=1)
     out = np.zeros(n, np.uint32)
     left_class = np.empty(n, np.int64)
     for o in range(LEFT + 1):
@@ -268,14 +268,14 @@ def suffix_dedup(docs: DataFrame) -> DataFrame:
     """
     spark = docs.sparkSession
     text_batches(spark)
-    ranges = partitions(spark)
+    ranges = 2 * partitions(spark)
     smallest = -(1 << 63)
 
     def chunked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         keys, texts, size = [], [], 0
 
         def row():
-            return pd.DataFrame({"chunk": [uuid.uuid4().int >> 65], "keys": [keys], "blob": [_pack(texts)]})
+            return pd.DataFrame({"chunk": [uuid.uuid4().int >> 65], "keys": [keys], "blob": [_pack(texts, 6)]})
 
         for pdf in batches:
             for k, t in zip(pdf["k"].tolist(), pdf["text"].tolist(), strict=True):
@@ -290,7 +290,8 @@ def suffix_dedup(docs: DataFrame) -> DataFrame:
 
     slim = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(smallest)).alias("k"), F.coalesce("text", F.lit("")).alias("text"))
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "400")
-    chunks = stage(slim.mapInPandas(chunked, "chunk long, keys array<long>, blob binary"))
+    # the filter is what the first join adds anyway; with it both joins read one and the same exchange of the texts
+    chunks = stage(slim.mapInPandas(chunked, "chunk long, keys array<long>, blob binary")).where("chunk IS NOT NULL")
     # from here on a row is a chunk or a blob
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")
     edges = [(i << _HASH_BITS) // ranges for i in range(1, ranges)]
