@@ -45,13 +45,13 @@ def line_dedup(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_
     repeated = stage(repeated_lines(docs, min_chars, min_docs))
     lost = (
         mine.join(repeated, "line").where(~F.col("doc_id").eqNullSafe(F.col("keeper")))
-        .groupBy(F.col("doc_id").alias("_id")).agg(F.collect_set("line").alias("_lost"))
+        .groupBy(F.col("doc_id").alias("_docrel_id")).agg(F.collect_set("line").alias("_docrel_lost"))
     )
     docs = docs.drop("n_lines", "n_dropped")
-    both = docs.join(lost, docs["doc_id"].eqNullSafe(lost["_id"]), "left")
-    both = both.withColumn("_lines", F.split(F.coalesce("text", F.lit("")), "\n", -1)).withColumn("_keys", F.when(F.col("_lost").isNotNull(), _keys(min_chars)))
-    stays = lambda x, i: ~F.coalesce(F.array_contains(F.col("_lost"), F.get(F.col("_keys"), i)), F.lit(False))
-    both = both.withColumn("_kept", F.when(F.col("_lost").isNull(), F.col("_lines")).otherwise(F.filter("_lines", stays)))
-    kept = F.array_join("_kept", "\n")
-    out = {"text": kept, "n_lines": F.size("_lines").cast("long"), "n_dropped": (F.size("_lines") - F.size("_kept")).cast("long")}
+    both = docs.join(lost, docs["doc_id"].eqNullSafe(lost["_docrel_id"]), "left")
+    both = both.withColumn("_docrel_lines", F.split(F.coalesce("text", F.lit("")), "\n", -1)).withColumn("_docrel_keys", F.when(F.col("_docrel_lost").isNotNull(), _keys(min_chars)))
+    stays = lambda x, i: ~F.coalesce(F.array_contains(F.col("_docrel_lost"), F.get(F.col("_docrel_keys"), i)), F.lit(False))
+    both = both.withColumn("_docrel_kept", F.when(F.col("_docrel_lost").isNull(), F.col("_docrel_lines")).otherwise(F.filter("_docrel_lines", stays)))
+    kept = F.array_join("_docrel_kept", "\n")
+    out = {"text": kept, "n_lines": F.size("_docrel_lines").cast("long"), "n_dropped": (F.size("_docrel_lines") - F.size("_docrel_kept")).cast("long")}
     return both.select(*[out.pop(c, F.col(f"`{c}`")).alias(c) for c in docs.columns], *[v.alias(k) for k, v in out.items()])

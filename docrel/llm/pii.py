@@ -130,10 +130,10 @@ def find(docs: DataFrame, threshold: float = DISCLOSURE, support: int = SUPPORT)
     disclosed = stage(disclosed_terms(docs, threshold, support))
     docs = docs.drop(*KINDS, "term")
     text = F.coalesce(F.col("text"), F.lit(""))
-    rows = docs.withColumns({k: base_spans(text, k) for k in KINDS}).withColumn("_h", F.unhex(F.md5(text)))
-    rows = rows.join(disclosed.select(F.col("h").alias("_h"), F.col("terms").alias("_terms")), "_h", "left")
-    keep = lambda m: F.array_contains(F.col("_terms"), F.xxhash64(F.lower(m)))
-    term = F.when(F.col("_terms").isNull(), F.array().cast(f"array<{SPAN}>")).otherwise(_spans(text, TERM, "term", keep))
+    rows = docs.withColumns({k: base_spans(text, k) for k in KINDS}).withColumn("_docrel_h", F.unhex(F.md5(text)))
+    rows = rows.join(disclosed.select(F.col("h").alias("_docrel_h"), F.col("terms").alias("_docrel_terms")), "_docrel_h", "left")
+    keep = lambda m: F.array_contains(F.col("_docrel_terms"), F.xxhash64(F.lower(m)))
+    term = F.when(F.col("_docrel_terms").isNull(), F.array().cast(f"array<{SPAN}>")).otherwise(_spans(text, TERM, "term", keep))
     return rows.withColumn("term", term).select(*docs.columns, *KINDS, "term")
 
 

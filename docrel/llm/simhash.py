@@ -274,7 +274,7 @@ def _keepers(docs: DataFrame, similarity: float) -> tuple[DataFrame, DataFrame]:
     tiles = tiles.select(F.xxhash64("k", F.least("mine", "other"), F.greatest("mine", "other")).alias("k"), "node")
     found = _grouped_links(small.union(tiles).join(classes.select("node", "bits"), "node"), "k", hamming_limit(similarity))
     of = classes.join(components(found), "node", "left").groupBy(F.coalesce("root", "node").alias("component")).agg(F.min("first").alias("first"))
-    return prints, stage(of.select(F.col("first.doc_id").alias("_id"), F.col("first.h").alias("_h")))
+    return prints, stage(of.select(F.col("first.doc_id").alias("_docrel_id"), F.col("first.h").alias("_docrel_h")))
 
 
 def near_dedup(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -285,8 +285,8 @@ def near_dedup(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     fingerprints estimate: README.md has the share of pairs found by similarity.
     """
     prints, keep = _keepers(docs, similarity)
-    out = docs.withColumn("_text_hash", _text_hash())
-    out = out.join(keep, out["doc_id"].cast("long").eqNullSafe(keep["_id"]) & (out["_text_hash"] == keep["_h"]), "left_semi")
+    out = docs.withColumn("_docrel_text_hash", _text_hash())
+    out = out.join(keep, out["doc_id"].cast("long").eqNullSafe(keep["_docrel_id"]) & (out["_docrel_text_hash"] == keep["_docrel_h"]), "left_semi")
     if not prints.groupBy("doc_id", "h").count().where("count > 1").isEmpty():
-        out = out.dropDuplicates(["doc_id", "_text_hash"])
+        out = out.dropDuplicates(["doc_id", "_docrel_text_hash"])
     return out.select(*docs.columns)

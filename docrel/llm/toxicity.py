@@ -164,7 +164,7 @@ def sample(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_SAMPLE) -> Da
     marks = labels.where("toxic IS NOT NULL AND doc_id IS NOT NULL").where(crc_mod("doc_id", 3) != 1)
     marks = marks.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
     # at most max_rows pairs of numbers
-    return docs.select(F.col("doc_id").alias("_id"), "text").join(F.broadcast(marks), F.col("_id") == F.col("doc_id")).select("doc_id", "text", F.col("toxic").cast("int").alias("toxic"))
+    return docs.select(F.col("doc_id").alias("_docrel_id"), "text").join(F.broadcast(marks), F.col("_docrel_id") == F.col("doc_id")).select("doc_id", "text", F.col("toxic").cast("int").alias("toxic"))
 
 
 def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_SAMPLE) -> Scorer:
