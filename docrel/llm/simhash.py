@@ -211,7 +211,7 @@ def near_components(docs: DataFrame, width: int = 3, limit: int = 2) -> DataFram
 SHINGLE = 5
 SIMILARITY = 0.8
 #: Blocks of the word fingerprint and bits of each.
-BLOCKS, BLOCK_BITS = 32, 28
+BLOCKS, BLOCK_BITS = 48, 28
 #: 64-bit words of the shingle fingerprint that verifies.
 CHECK_WORDS = 8
 
