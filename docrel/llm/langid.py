@@ -122,13 +122,20 @@ def train(texts: list[str], langs: list[str], epochs: int = 6, rate: float = 4.0
 def fit(docs: DataFrame, max_rows: int = MAX_SAMPLE, max_chars: int = MAX_SAMPLE_CHARS) -> Model:
     """Train on at most max_rows documents with text and lang that are not held out, whole, as long as max_chars lasts."""
     known = docs.where("text IS NOT NULL AND lang IS NOT NULL").where(F.coalesce(crc_mod("doc_id", 4) != 2, F.lit(False)))
-    texts, langs, left = [], [], max_chars
-    for r in known.select("text", "lang", F.xxhash64("doc_id").alias("o"), "doc_id").orderBy("o", "doc_id", "lang", F.xxhash64("text")).limit(max_rows).toLocalIterator():
-        if has_letter(r.text) and len(r.text) <= left:
-            texts.append(r.text)
-            langs.append(r.lang)
-            left -= len(r.text)
-    return train(texts, langs) if texts else Model(np.zeros((BUCKETS, 0)), [])
+    slim = known.select("doc_id", F.char_length("text").alias("n"), F.xxhash64("doc_id").alias("o"))
+    chosen, left = [], max_chars
+    for r in slim.orderBy("o", "doc_id", "n").limit(max_rows).collect():  # at most max_rows triples of numbers
+        if r.n <= left:
+            chosen.append((r.doc_id,))
+            left -= r.n
+    if not chosen:
+        return Model(np.zeros((BUCKETS, 0)), [])
+    ids = docs.sparkSession.createDataFrame(sorted(set(chosen)), "_docrel_id long")
+    # at most max_rows numbers go out, and at most max_chars characters come back
+    rows = known.join(F.broadcast(ids), known["doc_id"] == ids["_docrel_id"]).select("doc_id", "lang", "text").toArrow()
+    found = sorted(zip(rows["doc_id"].to_pylist(), rows["lang"].to_pylist(), rows["text"].to_pylist(), strict=True))
+    found = [x for x in found if has_letter(x[2])]
+    return train([x[2] for x in found], [x[1] for x in found]) if found else Model(np.zeros((BUCKETS, 0)), [])
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:
