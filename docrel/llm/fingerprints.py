@@ -7,6 +7,7 @@ fingerprint holds min-hashes of the names of the second and third level (and of
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,16 +34,26 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _cuts(x: np.ndarray) -> np.ndarray:
-    """Where phrases begin: at runs of one symbol, after them, and at local maxima of the labels between runs."""
+def _cuts(x: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Where phrases begin: at runs of one symbol, after them, and at local maxima of the labels between runs. starts: where texts
+    begin; nothing depends on a symbol of another text."""
     n, one = len(x), np.uint64(1)
-    same = x[1:] == x[:-1]
-    left_same, right_same = np.concatenate(([False], same)), np.concatenate((same, [False]))
-    run = left_same | right_same
-    first = ~run & np.concatenate(([True], run[:-1]))
+    begins = np.zeros(n, dtype=bool)
+    begins[starts] = True
+    left_same = np.empty(n, dtype=bool)
+    left_same[0] = False
+    np.equal(x[1:], x[:-1], out=left_same[1:])
+    left_same &= ~begins
+    run = left_same.copy()
+    run[:-1] |= left_same[1:]
+    first = begins.copy()
+    first[1:] |= run[:-1]
+    first &= ~run
     label = x
     for _ in range(4):  # 64 bits -> 7 -> 4 -> 3 -> six labels
-        left = np.concatenate((label[:1] ^ one, label[:-1]))
+        left = np.empty_like(label)
+        left[0] = label[0] ^ one
+        left[1:] = label[:-1]
         left[first] = label[first] ^ one
         d = label ^ left
         low = np.bitwise_count((d & (~d + one)) - one).astype(np.uint64)
@@ -50,58 +61,106 @@ def _cuts(x: np.ndarray) -> np.ndarray:
         label = (low << one) | ((label >> low) & one)
     cut = first | (run & ~left_same)
     if n > 2:
-        inner = ~(run[:-2] | run[1:-1] | run[2:]) & ~first[1:-1]
-        cut[1:-1] |= inner & (label[1:-1] > label[:-2]) & (label[1:-1] > label[2:])
-    cut[0] = True
+        free = ~(run | begins)
+        peak = free[1:-1] & ~first[1:-1] & ~run[:-2] & ~run[2:] & ~begins[2:]
+        cut[1:-1] |= peak & (label[1:-1] > label[:-2]) & (label[1:-1] > label[2:])
     return cut
 
 
+def parse_many(x: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The names of the phrases of texts laid end to end, in order, and where each text's begin."""
+    at = np.flatnonzero(_cuts(x, starts))
+    lens = np.diff(np.append(at, len(x)))
+    off = np.arange(1, len(x) + 1, dtype=np.uint64) - np.repeat(at, lens).astype(np.uint64)
+    return _mix(np.add.reduceat(_mix(x + _A * off), at) + lens.astype(np.uint64)), np.searchsorted(at, starts)
+
+
 def parse(x: np.ndarray) -> np.ndarray:
-    """The names of the phrases of x, in order. Memory beyond x is bounded by blocks."""
-    n = len(x)
+    """The names of the phrases of one text, in blocks: memory beyond x and the result is bounded."""
+    n, zero = len(x), np.zeros(1, np.int64)
     if n <= BLOCK:
-        at = np.flatnonzero(_cuts(x))
-    else:
-        found = []
-        for a in range(0, n, BLOCK):
-            lo = max(0, a - 8)
-            c = np.flatnonzero(_cuts(x[lo : a + BLOCK + 2])) + lo
-            found.append(c[(c >= a) & (c < a + BLOCK)] if a else c[c < BLOCK])
-        at = np.concatenate(found)
-    out, lens = [], np.diff(np.append(at, n))
-    edges = np.searchsorted(at, np.arange(0, n, BLOCK)) if n > BLOCK else np.array([0])
+        return parse_many(x, zero)[0]
+    found = []
+    for a in range(0, n, BLOCK):
+        lo = max(0, a - 8)
+        c = np.flatnonzero(_cuts(x[lo : a + BLOCK + 2], zero)) + lo
+        found.append(c[(c >= a) & (c < a + BLOCK)])
+    at, out = np.concatenate(found), []
+    lens, edges = np.diff(np.append(at, n)), np.searchsorted(at, np.arange(0, n, BLOCK))
     for i, j in zip(edges, [*edges[1:], len(at)], strict=True):
         if i < j:
             a, b = at[i], at[j] if j < len(at) else n
-            off = np.arange(a, b, dtype=np.uint64) - np.repeat(at[i:j], lens[i:j]).astype(np.uint64)
-            sums = np.add.reduceat(_mix(x[a:b] + _A * (off + np.uint64(1))), at[i:j] - a)
-            out.append(_mix(sums + lens[i:j].astype(np.uint64)))
+            off = np.arange(a + 1, b + 1, dtype=np.uint64) - np.repeat(at[i:j], lens[i:j]).astype(np.uint64)
+            out.append(_mix(np.add.reduceat(_mix(x[a:b] + _A * off), at[i:j] - a) + lens[i:j].astype(np.uint64)))
     return np.concatenate(out)
 
 
-def _minhash(names: np.ndarray) -> bytes:
-    least = np.full(HASHES, np.iinfo(np.uint64).max, dtype=np.uint64)
-    for i in range(0, len(names), 1024):
-        np.minimum(least, (names[i : i + 1024, None] * _ODD[None, :]).min(axis=0), out=least)
-    return (_mix(least) >> np.uint64(56)).astype(np.uint8).tobytes()
+def _minhash(names: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """A row of HASHES bytes for each text."""
+    least = np.empty((HASHES, len(starts)), dtype=np.uint64)
+    for j, odd in enumerate(_ODD):
+        least[j] = np.minimum.reduceat(names * odd, starts)
+    return (_mix(least) >> np.uint64(56)).astype(np.uint8).T
 
 
-def fingerprint(text: str | None) -> str:
-    """level:phrases:hex by level, joined by blanks; '' for null and empty texts. Equal texts have equal fingerprints."""
-    if not text:
-        return ""
-    x = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.uint64) + np.uint64(1)
-    kept = []
-    levels = []
-    for _ in range(3):
-        x = parse(x)
-        levels.append(np.unique(x))
+def _symbols(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.uint64) + np.uint64(1)
+
+
+def _together(texts: list[str]) -> list[str]:
+    """Fingerprints of non-empty texts; all in one array unless a text is longer than a block."""
+    if len(texts) == 1 and len(texts[0]) > BLOCK:
+        x, starts = _symbols(texts[0]), np.zeros(1, np.int64)
+        levels = []
+        for _ in range(3):
+            x = parse(x)
+            levels.append((x, starts))
+    else:
+        x, starts = _symbols("".join(texts)), np.cumsum([0] + [len(t) for t in texts[:-1]])
+        levels = []
+        for _ in range(3):
+            x, starts = parse_many(x, starts)
+            levels.append((x, starts))
+    kept: list[list[str]] = [[] for _ in texts]
+    need = np.arange(len(texts))
     for level in (3, 2, 1):
-        names = levels[level - 1]
-        kept.append(f"{level}:{len(names)}:{_minhash(names).hex()}")
-        if len(names) >= MANY:
+        names, starts = levels[level - 1]
+        counts = np.diff(np.append(starts, len(names)))
+        if len(need) == len(texts):
+            rows = _minhash(names, starts)
+        else:  # only the texts with few phrases above
+            rows = _minhash(names[np.repeat(np.isin(np.arange(len(texts)), need), counts)], np.cumsum(np.concatenate(([0], counts[need][:-1]))))
+        for i, row in zip(need.tolist(), rows, strict=True):
+            kept[i].append(f"{level}:{counts[i]}:{row.tobytes().hex()}")
+        need = need[counts[need] < MANY]
+        if not len(need):
             break
-    return " ".join(kept)
+    return [" ".join(k) for k in kept]
+
+
+def fingerprints(texts: list[str | None]) -> list[str]:
+    """level:phrases:hex by level, joined by blanks; '' for null and empty texts. Depends on each text alone."""
+    out, group, size = [""] * len(texts), [], 0
+
+    def flush() -> None:
+        if group:
+            for i, f in zip(group, _together([texts[i] for i in group]), strict=True):
+                out[i] = f
+
+    for i, t in enumerate(texts):
+        if not t:
+            continue
+        if group and size + len(t) > BLOCK // 8:
+            flush()
+            group, size = [], 0
+        group.append(i)
+        size += len(t)
+    flush()
+    return out
+
+
+def fingerprint(text: str | None) -> str:
+    return fingerprints([text])[0]
 
 
 def likeness(a: str, b: str) -> float:
@@ -123,8 +182,8 @@ def edited(text: str, following: str) -> str:
     return text[: len(text) - k] + following[:k]
 
 
-def with_next(docs: DataFrame, per_row, schema: str) -> DataFrame:
-    """per_row(text, next text) for each row, as dicts with the fields of schema and doc_id, in ascending order of
+def with_next(docs: DataFrame, per_rows, schema: str) -> DataFrame:
+    """per_rows(list of (text, next text)) for all rows, as dicts with the fields of schema, in ascending order of
     doc_id; the last row's next is the first.
 
     Rows are dealt by ranges of doc_id; the first row of each range also goes to the range before, so texts are shuffled
@@ -158,15 +217,14 @@ def with_next(docs: DataFrame, per_row, schema: str) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held = None  # the last row, which waits for its next
         for pdf in batches:
-            out = []
+            ids, pairs = [], []
             for row in zip(pdf["p"].tolist(), pdf["halo"].tolist(), pdf["doc_id"].astype("Int64"), pdf["text"].tolist(), strict=True):
                 if held is not None and held[0] == row[0] and not held[1]:
-                    out.append({"doc_id": held[2]} | per_row(held[3], row[3]))
+                    ids.append(held[2])
+                    pairs.append((held[3], row[3]))
                 held = row
-            if out:
-                frame = pd.DataFrame(out)
-                frame["doc_id"] = frame["doc_id"].astype("Int64")
-                yield frame
+            if ids:
+                yield pd.DataFrame(per_rows(pairs)).assign(doc_id=pd.array(ids, dtype="Int64"))
 
     return ordered.mapInPandas(run, f"doc_id long, {schema}")
 
@@ -177,16 +235,15 @@ def compare_with_next(docs: DataFrame) -> DataFrame:
     Null texts are empty; empty texts have the fingerprint ''; two empty texts are alike to 1. A table of one row is its own
     next. Other columns are not kept.
     """
-    import hashlib
-
-    last: list = [None, None]  # a row's next is the next row: its fingerprint is taken once
-
-    def one(text: str, following: str) -> dict:
-        own = last[1] if last[0] is not None and last[0] == text else fingerprint(text)
-        new = edited(text, following)
-        changed, beyond = fingerprint(new), fingerprint(following)
-        last[:] = [following, beyond]
-        digest = hashlib.sha256(new.encode("utf-8", "surrogatepass")).hexdigest()
-        return {"n_chars": len(text), "edited_sha256": digest, "fingerprint": own, "edited_fingerprint": changed, "near_edited": likeness(own, changed), "near_next": likeness(own, beyond)}
-
-    return with_next(docs, one, "n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
+    def rows(pairs: list[tuple[str, str]]) -> list[dict]:
+        changed = [edited(a, b) for a, b in pairs]
+        texts = list(dict.fromkeys(t for p in pairs for t in p)) + changed
+        prints = fingerprints(texts)
+        of = dict(zip(texts, prints, strict=True))
+        out = []
+        for (a, b), new, f in zip(pairs, changed, prints[len(prints) - len(changed) :], strict=True):
+            digest = hashlib.sha256(new.encode("utf-8", "surrogatepass")).hexdigest()
+            out.append({"n_chars": len(a), "edited_sha256": digest, "fingerprint": of[a], "edited_fingerprint": f, "near_edited": likeness(of[a], f), "near_next": likeness(of[a], of[b])})
+        return out
+
+    return with_next(docs, rows, "n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")

@@ -187,3 +187,16 @@ def test_decontamination(spark, docs, rows, block_bytes):
 
 def test_queries_are_registered():
     assert sorted(int(k.split("_")[0][2:]) for k in queries.QUERIES) == list(range(1, 11))
+
+
+def test_fingerprints_do_not_depend_on_neighbours(monkeypatch):
+    r = random.Random(12)
+    texts = ["", "a", "aa", "ab", "aab", "x" * 500, "ab" * 300, None] + ["".join(r.choice("abc d") for _ in range(r.randint(1, 4000))) for _ in range(40)]
+    alone = [fingerprints.fingerprint(t) for t in texts]
+    assert fingerprints.fingerprints(texts) == alone
+    r.shuffle(texts)
+    assert fingerprints.fingerprints(texts) == [fingerprints.fingerprint(t) for t in texts]
+    monkeypatch.setattr(fingerprints, "BLOCK", 700)
+    assert fingerprints.fingerprints(texts) == [fingerprints.fingerprint(t) for t in texts]
+    monkeypatch.undo()
+    assert sorted(fingerprints.fingerprints(texts)) == sorted(alone)
