@@ -2,7 +2,7 @@
 
 Base patterns find protected entities. Co-occurrence over the corpus then says how much a term tells about an entity e:
 PMI(t, e) / IC(e), where IC(e) = -log p(e) is what seeing e itself would tell. Terms at or above the disclosure
-threshold, in documents that hold the entity, become spans of kind term; sanitise() generalises or removes all spans.
+threshold, in documents that hold the entity, become spans of kind term unless chance explains that they meet; sanitise() generalises or removes all spans.
 """
 
 from __future__ import annotations
@@ -25,8 +25,8 @@ _MARK = {"email": "@", "ip": ".", "phone": "+"}
 TERM = r"\p{L}{4,}+"
 #: A term discloses an entity if it carries this share of the entity's information.
 DISCLOSURE = 0.8
-#: Distinct texts in which entity and term must meet; fewer are no evidence.
-SUPPORT = 3
+#: A term whose meetings with an entity are likelier than this by chance does not disclose it.
+CHANCE = 0.01
 SPAN = "struct<kind:string,start:int,end:int>"
 
 
@@ -98,11 +98,21 @@ def _terms(text: Column) -> Column:
     return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(TERM), F.lit(0)), lambda t: F.xxhash64(F.lower(t))))
 
 
-def disclosed_terms(docs: DataFrame, threshold: float = DISCLOSURE, support: int = SUPPORT) -> DataFrame:
+def _chance(texts: Column, met: Column, share: Column) -> Column:
+    """Upper bound (Chernoff) of the probability that of so many texts at least met hold a term of that share by chance.
+
+    It is share ** texts if all of them hold the term, so just share for an entity in one text.
+    """
+    a = met / texts
+    rest = F.when(met < texts, (texts - met) * F.log((1 - share) / (1 - a))).otherwise(0.0)
+    return F.when(share >= a, 1.0).otherwise(F.exp(met * F.log(share / a) + rest))
+
+
+def disclosed_terms(docs: DataFrame, threshold: float = DISCLOSURE, level: float = CHANCE) -> DataFrame:
     """(h, terms): for texts by hash, the terms (hashes) that disclose an entity the text holds.
 
-    Probabilities are shares of rows; support counts distinct texts. Counts of terms cover all documents; pairs are only formed of entities in at least support
-    distinct texts, and combine before the shuffle.
+    Every entity is judged. Probabilities are shares of rows; chance counts distinct texts, so copies are no evidence. Counts of terms cover
+    all documents. Entities of just one text share its terms and counts, so they are judged once a text; pairs are formed of the others, and combine before the shuffle.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select(text.alias("text"))
@@ -110,24 +120,32 @@ def disclosed_terms(docs: DataFrame, threshold: float = DISCLOSURE, support: int
     held = rows.withColumn("e", _entities(F.col("text"))).where(F.size("e") > 0)
     held = held.select(F.unhex(F.md5("text")).alias("h"), "e", _terms(F.col("text")).alias("t"))
     held = stage(held.groupBy("h").agg(F.first("e").alias("e"), F.first("t").alias("t"), F.count("*").alias("m")))
-    entities = held.select(F.explode("e").alias("e"), "m").groupBy("e").agg(F.sum("m").alias("n_e"), F.count("*").alias("texts")).where(F.col("texts") >= support).select("e", "n_e")
-    some = held.select("h", F.explode("e").alias("e"), "t", "m").join(entities, "e")
-    pairs = some.select("e", "n_e", "m", F.explode("t").alias("t")).groupBy("e", "n_e", "t").agg(F.sum("m").alias("n_et"), F.count("*").alias("texts")).where(F.col("texts") >= support)
-    df = rows.select(F.explode(_terms(F.col("text"))).alias("t")).groupBy("t").agg(F.count("*").alias("n_t")).where(F.col("n_t") >= support)
+    df = rows.select(F.explode(_terms(F.col("text"))).alias("t")).groupBy("t").agg(F.count("*").alias("n_t"))
     n = F.lit(float(max(total, 1)))
-    pmi = F.log(F.col("n_et") * n / (F.col("n_t") * F.col("n_e")))
-    telling = stage(pairs.join(df, "t").where(pmi >= threshold * F.log(n / F.col("n_e"))).where(F.col("n_e") < n).select("e", "t"))
-    hit = held.select("h", F.explode("e").alias("e"), F.col("t").alias("own")).join(telling, "e").where(F.array_contains("own", F.col("t")))
-    return hit.groupBy("h").agg(F.collect_set("t").alias("terms"))
+
+    def telling(pairs: DataFrame) -> DataFrame:
+        pmi = F.log(F.col("n_et") * n / (F.col("n_t") * F.col("n_e")))
+        far = _chance(F.col("texts_e"), F.col("texts"), F.col("n_t") / n) <= level
+        return pairs.where(F.col("n_e") < n).join(df, "t").where(far & (pmi >= threshold * F.log(n / F.col("n_e"))))
+
+    placed = held.select("h", F.explode("e").alias("e"), "m")
+    entities = stage(placed.groupBy("e").agg(F.sum("m").alias("n_e"), F.count("*").alias("texts_e"), F.min("h").alias("h")))
+    lone = held.join(entities.where("texts_e = 1").select("h").distinct(), "h", "left_semi")
+    lone = lone.select("h", F.explode("t").alias("t"), F.col("m").alias("n_e"), F.col("m").alias("n_et"), F.lit(1).alias("texts_e"), F.lit(1).alias("texts"))
+    shared = entities.where("texts_e > 1").select("e", "n_e", "texts_e")
+    some = held.select("h", F.explode("e").alias("e"), "t", "m").join(shared, "e").select("h", "e", "n_e", "texts_e", "m", F.explode("t").alias("t"))
+    pairs = some.groupBy("e", "n_e", "texts_e", "t").agg(F.sum("m").alias("n_et"), F.count("*").alias("texts"))
+    hit = some.select("h", "e", "t").join(telling(pairs).select("e", "t"), ["e", "t"])
+    return telling(lone).select("h", "t").union(hit.select("h", "t")).groupBy("h").agg(F.collect_set("t").alias("terms"))
 
 
-def find(docs: DataFrame, threshold: float = DISCLOSURE, support: int = SUPPORT) -> DataFrame:
+def find(docs: DataFrame, threshold: float = DISCLOSURE, level: float = CHANCE) -> DataFrame:
     """docs with email, ip, card, phone and term: arrays of (kind, start, end) in code points, end exclusive.
 
     Whole texts; null is the empty text. Kinds are found independently and may overlap. Equal texts have equal spans; repeated rows and null doc_ids
     stay as they are; an empty table gives an empty result. Columns with the new names are replaced.
     """
-    disclosed = stage(disclosed_terms(docs, threshold, support))
+    disclosed = stage(disclosed_terms(docs, threshold, level))
     docs = docs.drop(*KINDS, "term")
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.withColumns({k: base_spans(text, k) for k in KINDS}).withColumn("_docrel_h", F.unhex(F.md5(text)))

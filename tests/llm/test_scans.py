@@ -98,6 +98,19 @@ def test_pii_terms_disclose(spark):
     assert "boss@corp" not in clean and "<email>" in clean and "nickname" not in clean and "<term>" in clean
 
 
+def test_pii_terms_of_entities_in_one_text(spark):
+    r = random.Random(3)
+    common = [f"common{chr(97 + i)}" for i in range(20)]
+    rows = [(i, " ".join(r.choices(common, k=30)) + (" seldom" if i < 60 else "")) for i in range(300)]
+    rows += [(400, f"{rows[100][1]} seldom Vandersloot once@mail.example and 8.8.4.4")] * 3
+    # one entity in 100 texts, each with a word of its own: the words meet it by chance
+    rows += [(500 + i, f"desk@mail.example {rows[i][1]} odd{'abcdefghij'[i % 10]}{'klmnopqrst'[i // 10]}word") for i in range(100)]
+    found = {x.doc_id: x for x in pii.find(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {found[400].text[s.start : s.end] for s in found[400].term} == {"Vandersloot", "once"}
+    assert all(not x.term for d, x in found.items() if d < 300)
+    assert all({x.text[s.start : s.end] for s in x.term} == {"desk", "mail", "example"} for d, x in found.items() if d >= 500)
+
+
 def test_locally_consistent_parsing():
     r = random.Random(6)
     import numpy as np
