@@ -2,8 +2,8 @@
 
 Two searches share the machinery. links_within() is exact for 64-bit fingerprints and a small distance. near_groups()
 finds documents whose five-word shingles are alike to 0.8 or more; such pairs differ in too many bits of a 64-bit
-fingerprint for exact pigeonhole blocks, so it takes many blocks of a long word fingerprint and verifies on a long
-shingle fingerprint.
+fingerprint for exact pigeonhole blocks, so it takes bands of min-hashes of the shingles as blocks, sorts pairs by a
+long shingle fingerprint, and computes the similarity of those that it leaves open.
 """
 
 from __future__ import annotations
@@ -87,25 +87,29 @@ def fingerprints(docs: DataFrame, width: int = 3) -> DataFrame:
 # ---------------------------------------------------------------- search in blocks
 
 
-def _linked(nodes: np.ndarray, bits: np.ndarray, limit: int) -> list[tuple[int, int]]:
+def _linked(nodes: np.ndarray, bits: np.ndarray, limit: int, loose: int = -1) -> list[tuple[int, int, bool]]:
     """Links that connect just those nodes that chains of pairs within limit connect. bits: rows of uint64.
 
-    Each node is compared only with those not yet connected, so a group of near copies gives a link a member.
+    Each node is compared only with those not yet connected, so a group of near copies gives a link a member. All pairs of
+    different groups that are within loose follow, with False.
     """
-    rest, out = np.arange(len(nodes)), []
+    rest, out, group, unsure = np.arange(len(nodes)), [], np.arange(len(nodes)), []
     while len(rest) > 1:
         frontier, rest = [rest[0]], rest[1:]
         while frontier and len(rest):
             x = frontier.pop()
-            near = np.bitwise_count(bits[rest] ^ bits[x]).sum(axis=1) <= limit
-            out += [(int(nodes[x]), int(nodes[y])) for y in rest[near]]
+            apart = np.bitwise_count(bits[rest] ^ bits[x]).sum(axis=1)
+            near = apart <= limit
+            out += [(int(nodes[x]), int(nodes[y]), True) for y in rest[near]]
+            group[rest[near]] = group[x]
+            unsure += [(x, y) for y in rest[~near & (apart <= loose)]]
             frontier += rest[near].tolist()
             rest = rest[~near]
-    return out
+    return out + [(int(nodes[x]), int(nodes[y]), False) for x, y in unsure if group[x] != group[y]]
 
 
-def _grouped_links(rows: DataFrame, key: str, limit: int) -> DataFrame:
-    """Links inside each group of rows (key, node, bits binary), streamed over sorted partitions. Groups are small."""
+def _grouped_links(rows: DataFrame, key: str, limit: int, loose: int = -1) -> DataFrame:
+    """Links (a, b, sure) inside each group of rows (key, node, bits binary), streamed over sorted partitions. Groups are small."""
     ordered = rows.repartition(partitions(rows.sparkSession), key).sortWithinPartitions(key, "node")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -117,14 +121,15 @@ def _grouped_links(rows: DataFrame, key: str, limit: int) -> DataFrame:
             cut = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1], [True]))).tolist()
             for a, b in itertools.pairwise(cut):
                 if b - a == 2:
-                    if np.bitwise_count(bits[a] ^ bits[a + 1]).sum() <= limit:
-                        yield int(nodes[a]), int(nodes[a + 1])
+                    apart = np.bitwise_count(bits[a] ^ bits[a + 1]).sum()
+                    if apart <= max(limit, loose):
+                        yield int(nodes[a]), int(nodes[a + 1]), bool(apart <= limit)
                 elif b - a > 2:
-                    yield from _linked(nodes[a:b], bits[a:b], limit)
+                    yield from _linked(nodes[a:b], bits[a:b], limit, loose)
 
         def frame(pairs):
             pairs = list(set(pairs))
-            return pd.DataFrame({"a": np.array([p[0] for p in pairs], np.int64), "b": np.array([p[1] for p in pairs], np.int64)})
+            return pd.DataFrame({"a": np.array([p[0] for p in pairs], np.int64), "b": np.array([p[1] for p in pairs], np.int64), "sure": np.array([p[2] for p in pairs], bool)})
 
         for pdf in batches:
             if not len(pdf):
@@ -139,7 +144,7 @@ def _grouped_links(rows: DataFrame, key: str, limit: int) -> DataFrame:
         if held:
             yield frame(links(pd.concat(held)))
 
-    return ordered.select(key, "node", "bits").mapInPandas(run, "a long, b long")
+    return ordered.select(key, "node", "bits").mapInPandas(run, "a long, b long, sure boolean")
 
 
 def _members(keys: DataFrame) -> DataFrame:
@@ -182,7 +187,7 @@ def links_within(classes: DataFrame, limit: int = 2, task_members: int = TASK_ME
     keys = keys.withColumn("k", F.xxhash64("i", F.col("node").bitwiseAND(F.col("m")))).select("k", "node", "m")
     members = stage(_members(keys))
     as_bits = F.unhex(F.lpad(F.hex("node"), 16, "0"))
-    links = _grouped_links(members.where(F.col("n") <= task_members).select("k", "node", as_bits.alias("bits")), "k", limit)
+    links = _grouped_links(members.where(F.col("n") <= task_members).select("k", "node", as_bits.alias("bits")), "k", limit).select("a", "b")
     flips = F.array(F.lit(0), *[F.lit(_signed(1 << i)) for i in range(64)])
     free = F.filter(flips, lambda f: (f.bitwiseAND(F.col("m")) == 0))
     met = members.where(F.col("n") > task_members).select("k", "node", F.explode(free).alias("f")).groupBy("k", F.col("node").bitwiseXOR(F.col("f")).alias("z")).agg(F.array_sort(F.collect_list("node")).alias("g")).where(F.size("g") > 1)
@@ -210,32 +215,59 @@ def near_components(docs: DataFrame, width: int = 3, limit: int = 2) -> DataFram
 
 SHINGLE = 5
 SIMILARITY = 0.8
-#: Blocks of the word fingerprint and bits of each.
-BLOCKS, BLOCK_BITS = 48, 28
-#: 64-bit words of the shingle fingerprint that verifies.
+#: Bands of min-hashes and min-hashes of each: 0.9999 of the pairs alike to 0.8 agree in a band, whatever the edit.
+BANDS, BAND_ROWS = 32, 6
+#: 64-bit words of the shingle fingerprint that sorts pairs.
 CHECK_WORDS = 8
+#: Standard deviations of the fingerprint around the similarity within which pairs are computed.
+DOUBT = 3
+_FACTORS = _spread(np.array([SEED], np.uint64), BANDS * BAND_ROWS)[0] | np.uint64(1)
 
 
-def hamming_limit(similarity: float = SIMILARITY, bits: int = 64 * CHECK_WORDS) -> int:
-    """Bits in which fingerprints of sets with that Jaccard similarity differ, plus one standard deviation."""
+def hamming_limit(similarity: float = SIMILARITY, bits: int = 64 * CHECK_WORDS, deviations: float = 1) -> int:
+    """Bits in which fingerprints of sets with that Jaccard similarity differ, plus standard deviations."""
     p = math.acos(2 * similarity / (1 + similarity)) / math.pi
-    return int(bits * p + math.sqrt(bits * p * (1 - p)))
+    return int(bits * p + deviations * math.sqrt(bits * p * (1 - p)))
+
+
+def shingle_set(text: str | None, width: int = SHINGLE) -> np.ndarray:
+    return np.unique(shingle_hashes((text or "").encode("utf-8", "surrogatepass").lower().split(), width))
 
 
 def long_prints(text: str | None, width: int = SHINGLE) -> tuple[bytes, bytes]:
-    """The word fingerprint that is cut into blocks, and the shingle fingerprint that verifies.
+    """Hashes of the bands, eight bytes each, and the fingerprint that sorts pairs; both of the distinct shingles."""
+    shingles = shingle_set(text, width)
+    least = np.full(BANDS * BAND_ROWS, np.iinfo(np.uint64).max, np.uint64)
+    for i in range(0, len(shingles), 2048):
+        x = shingles[i : i + 2048, None] * _FACTORS
+        least = np.minimum(least, ((x ^ (x >> np.uint64(31))) * np.uint64(0x94D049BB133111EB)).min(axis=0))
+    band = np.zeros(BANDS, np.uint64)
+    for column in least.reshape(BANDS, BAND_ROWS).T:
+        band = (band ^ column) * np.uint64(0xBF58476D1CE4E5B9)
+        band ^= band >> np.uint64(29)
+    return band.astype(">u8").tobytes(), _majority_of(shingles, CHECK_WORDS, None)
+
+
+def jaccard(a: np.ndarray, b: np.ndarray) -> float:
+    """Similarity of two sets of shingles; that of two empty ones is one."""
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return both / max(len(a) + len(b) - both, 1) if len(a) or len(b) else 1.0
+
+
+def _alike(pairs: DataFrame, classes: DataFrame, docs: DataFrame, similarity: float) -> DataFrame:
+    """The pairs (a, b) of nodes whose texts have at least that similarity."""
+    need = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    need = need.join(classes.select("node", "first.h"), "node").groupBy("node").agg(F.min("h").alias("h"))
+    rows = docs.select(_text_hash().alias("h"), "text").join(need.select("h").distinct(), "h", "left_semi").dropDuplicates(["h"])
+    texts = stage(need.join(rows, "h").select("node", "text"))
+    both = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("x")), "a").join(texts.select(F.col("node").alias("b"), F.col("text").alias("y")), "b")
 
-    Words are those of the shingles without ASCII punctuation around them; each distinct one weighs its bytes less two,
-    so that what the documents of a language share anyway counts little.
-    """
-    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    shingles = np.unique(shingle_hashes(words, width))
-    kinds = list({w.strip(b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~") for w in words} or [])
-    if not kinds:
-        return bytes(BLOCKS * BLOCK_BITS // 8), bytes(8 * CHECK_WORDS)
-    h = np.fromiter((xxhash.xxh64_intdigest(k, SEED) for k in kinds), dtype=np.uint64, count=len(kinds))
-    weight = np.array([max(1, len(k) - 2) for k in kinds], dtype=np.float32)
-    return _majority_of(h, BLOCKS * BLOCK_BITS // 64, weight), _majority_of(shingles, CHECK_WORDS, None)
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            ok = [jaccard(shingle_set(x), shingle_set(y)) >= similarity for x, y in zip(pdf["x"], pdf["y"], strict=True)]
+            yield pdf.loc[np.array(ok, bool), ["a", "b"]]
+
+    return both.select("a", "b", "x", "y").mapInPandas(run, "a long, b long")
 
 
 def _majority_of(h: np.ndarray, n: int, weights: np.ndarray | None) -> bytes:
@@ -264,15 +296,17 @@ def _keepers(docs: DataFrame, similarity: float) -> tuple[DataFrame, DataFrame]:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _text_hash().alias("h"), "text")
     prints = stage(rows.mapInPandas(run, "doc_id long, h binary, blocks binary, bits binary"))
     classes = stage(prints.groupBy("blocks", "bits").agg(F.min(F.struct("doc_id", "h")).alias("first")).withColumn("node", F.xxhash64("blocks", "bits")))
-    digits = BLOCK_BITS // 4
-    parts = F.array(*[F.xxhash64(F.lit(i), F.substring(F.hex("blocks"), 1 + i * digits, digits)) for i in range(BLOCKS)])
+    parts = F.array(*[F.xxhash64(F.lit(i), F.substring("blocks", 1 + 8 * i, 8)) for i in range(BANDS)])
     members = stage(_members(classes.select("node", F.explode(parts).alias("k"))))
     small = members.where(F.col("n") <= TASK_MEMBERS).select("k", "node")
     # a larger block is cut into tiles, and each pair of tiles searched on its own
     tiles = members.where(F.col("n") > TASK_MEMBERS).withColumn("tiles", F.expr(f"cast(n div {TASK_MEMBERS // 2} + 1 as int)"))
     tiles = tiles.withColumn("mine", F.pmod(F.xxhash64("node", F.lit(1)), "tiles")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
     tiles = tiles.select(F.xxhash64("k", F.least("mine", "other"), F.greatest("mine", "other")).alias("k"), "node")
-    found = _grouped_links(small.union(tiles).join(classes.select("node", "bits"), "node"), "k", hamming_limit(similarity))
+    sure, loose = hamming_limit(similarity, deviations=-DOUBT), hamming_limit(similarity, deviations=DOUBT)
+    met = stage(_grouped_links(small.union(tiles).join(classes.select("node", "bits"), "node"), "k", sure, loose))
+    open_ = met.where("NOT sure").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    found = met.where("sure").select("a", "b").union(_alike(open_, classes, docs, similarity))
     of = classes.join(components(found), "node", "left").groupBy(F.coalesce("root", "node").alias("component")).agg(F.min("first").alias("first"))
     return prints, stage(of.select(F.col("first.doc_id").alias("_docrel_id"), F.col("first.h").alias("_docrel_h")))
 
@@ -281,8 +315,8 @@ def near_dedup(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """docs without those whose five-word shingles are alike, to the given similarity, to those of a document that stays.
 
     Groups are connected components of such links; the row with the smallest doc_id (null first, then by a hash of the text) of
-    each stays, once if rows repeat. Texts without words form one group. Columns stay as they are. Both
-    fingerprints estimate: README.md has the share of pairs found by similarity.
+    each stays, once if rows repeat. Texts without words form one group. Columns stay as they are. Pairs that meet
+    are compared exactly unless their fingerprints are three standard deviations away: README.md has the share of pairs found.
     """
     prints, keep = _keepers(docs, similarity)
     out = docs.withColumn("_docrel_text_hash", _text_hash())

@@ -119,6 +119,24 @@ def test_near_dedup_keeps_one_of_each_group(spark, docs, rows):
     assert simhash.near_dedup(docs.limit(0)).count() == 0
 
 
+def test_near_dedup_finds_contiguous_edits(spark):
+    r = random.Random(11)
+    vocabulary = ["".join(r.choice("abcdefghijklmnop") for _ in range(r.randint(2, 9))) for _ in range(3000)]
+    rows, similar, far = [], [], []
+    for i in range(180):
+        w = [r.choice(vocabulary) for _ in range(r.randint(100, 400))]
+        share, new = r.choice([0.05, 0.09, 0.17]), lambda n: [r.choice(vocabulary) for _ in range(n)]  # noqa: B023
+        n = int(len(w) * share * (1 if i % 3 else 2))
+        v = [w + new(n), w[:-n], w[: -n // 2] + new(n // 2)][i % 3]
+        rows += [(2 * i, " ".join(w)), (2 * i + 1, " ".join(v))]
+        a, b = ({tuple(x[k : k + 5]) for k in range(len(x) - 4)} for x in (w, v))
+        (similar if len(a & b) / len(a | b) >= 0.8 else far).append(2 * i + 1)
+    kept = {x.doc_id for x in simhash.near_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert len(similar) > 80 and len(far) > 20
+    assert not kept & set(similar)
+    assert set(far) <= kept
+
+
 def test_near_dedup_finds_edited_copies(spark):
     r = random.Random(5)
     vocabulary = ["".join(r.choice("abcdefghijklmnop") for _ in range(r.randint(2, 9))) for _ in range(3000)]
