@@ -678,7 +678,7 @@ def scored_row_match(spark, d):
     """Price rows of a document and the products that clearly describe the same thing."""
     p = _t(spark, d, "part").where("p_size IS NOT NULL")
     products = p.select(F.col("p_brand").alias("doc"), F.col("p_partkey").alias("product_id"), F.concat_ws(" ", "p_name", "p_type").alias("product"), F.concat(F.lit("mod"), "p_partkey").alias("model"), F.col("p_size").cast("double").alias("quantity"), (F.col("p_partkey") % 2 == 0).alias("supported"))
-    rows = p.where("p_partkey % 10 = 0").select(F.col("p_brand").alias("doc"), F.col("p_partkey").alias("row_id"), F.concat_ws(" ", "p_name", "p_type", F.concat(F.lit("mod"), "p_partkey")).alias("description"), F.col("p_size").cast("double").alias("quantity"))
+    rows = p.select(F.col("p_brand").alias("doc"), F.col("p_partkey").alias("row_id"), F.concat_ws(" ", "p_name", "p_type", F.concat(F.lit("mod"), "p_partkey")).alias("description"), F.col("p_size").cast("double").alias("quantity"))
     return link.score_rows(rows, products, ["doc"])
 
 
