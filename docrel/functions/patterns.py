@@ -70,3 +70,7 @@ OFFER_LEAST = 50_000
 INCONSISTENT = r"invalida|fuera_de_rango|no_aparece|repetido_en_otra|no_coincide|supera_total|conflicto_entre_fuentes|total_general"
 INCOMPLETE = r"no_identificad"
 SUSPECT = r"invalida|fuera_de_rango|no_aparece|repetido_en_otra|no_coincide|conflicto_entre_fuentes|total_general"
+
+#: Names and contents of documents of past sales.
+HISTORY_NAME = r"experiencia|comprobante|curr[ií]culum|referencias?|orden[_ .-]?de[_ .-]?compra|(?<![a-z])ocs?(?![a-z])|ilovepdf|\d{3,}-\d{1,4}-(?:se|ag|cm|co)\d{2}(?!\d)"
+HISTORY_TEXT = r"nombre\s+orden\s+de\s+compra|n[uú]mero\s+de\s+orden\s+de\s+compra|orden\s+de\s+compra\s*(?:n\W|:)"
