@@ -2,14 +2,21 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
-#: Rows per Arrow batch where whole texts go to Python: bounds a worker's memory even if all rows are long.
-TEXT_BATCH_ROWS = 400
+#: Characters of text, about, that an operator holds in derived form at once. Spark itself ends an Arrow batch at 64 MB.
+PIECE_CHARS = 4 << 20
+#: A key with over one part in so many of all rows is joined by broadcast; there can be no more such keys than this.
+HOT_KEYS = 1024
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 BLANKS = " \t\n\x0b\x0c\r"
@@ -19,9 +26,40 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def text_batches(spark: SparkSession) -> None:
-    """Small Arrow batches from here on, as the rows carry whole texts."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(TEXT_BATCH_ROWS))
+def pieces(texts: list, chars: int = PIECE_CHARS) -> Iterator[tuple[int, int]]:
+    """Ranges of texts in order, of about so many characters at most; a longer text comes alone."""
+    begin = total = 0
+    for i, t in enumerate(texts):
+        n = len(t) if t else 0
+        if i > begin and total + n > chars:
+            yield begin, i
+            begin, total = i, 0
+        total += n
+    if begin < len(texts):
+        yield begin, len(texts)
+
+
+def with_columns(docs: DataFrame, new: dict[str, str], f: Callable[[list[str | None]], dict[str, list]]) -> DataFrame:
+    """docs with the columns new (name: DDL type), which f computes from a list of texts. Columns of these names are replaced.
+
+    Batches stay in Arrow, so all other columns pass as they are, and f sees about PIECE_CHARS characters at a time.
+    """
+    docs = docs.drop(*new)
+    schema = StructType([*docs.schema, *StructType.fromDDL(", ".join(f"`{k}` {v}" for k, v in new.items()))])
+    types = to_arrow_schema(StructType.fromDDL(", ".join(f"`{k}` {v}" for k, v in new.items())))
+    at = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(at).to_pylist()
+            for a, b in pieces(texts):
+                found = f(texts[a:b])
+                made = [pa.array(found[k.name], type=k.type) for k in types]
+                part = batch.slice(a, b - a)
+                yield pa.RecordBatch.from_arrays([*part.columns, *made], names=[*docs_columns, *types.names])
+
+    docs_columns = docs.columns
+    return docs.mapInArrow(run, schema)
 
 
 def partitions(spark: SparkSession) -> int:
@@ -29,9 +67,12 @@ def partitions(spark: SparkSession) -> int:
 
 
 def scratch(spark: SparkSession) -> str:
-    """A new path in the cluster's shared folder; a local one only where none is set, as in tests."""
+    """A new path in the cluster's shared folder. Without one, a local folder serves where the driver is the only machine, as
+    in tests; a cluster must name one."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         root = f"file://{tempfile.mkdtemp(prefix='docrel-')}"
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/docrel-{uuid.uuid4().hex}"
@@ -66,6 +107,32 @@ def crc_mod(column: str, n: int):
     return F.crc32(F.col(column).cast("string").cast("binary")) % n
 
 
+def spread_join(rows: DataFrame, table: DataFrame, key: str, n: str, total: int) -> DataFrame:
+    """rows joined (inner) to table, which has one row a key and in column n how many of the total rows have it.
+
+    Keys with over total / HOT_KEYS rows, of which there are fewer than HOT_KEYS, are broadcast, so none of them gathers in one task;
+    the others shuffle. Rows keep their order of columns, then come table's other columns without n.
+    """
+    most = max(total // HOT_KEYS, 1)
+    hot, rest = table.where(F.col(n) > most).drop(n), table.where(F.col(n) <= most).drop(n)
+    cold = rows.join(F.broadcast(hot.select(key)), key, "left_anti")
+    return rows.join(F.broadcast(hot), key).unionByName(cold.join(rest, key))
+
+
+def chosen_rows(rows: DataFrame, max_rows: int, total: int | None = None) -> DataFrame:
+    """At most max_rows distinct rows of rows, chosen by a hash of their columns, which comes as column o. Equal rows count once.
+
+    Rows whose hash is over a share that lets about max_rows pass are left out before anything is shuffled or sorted, so the bound
+    holds for all tasks together, whatever ids repeat. total: the number of rows, if known.
+    """
+    o = F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns])
+    total = rows.count() if total is None else total
+    share = min(1.0, 1.2 * max_rows / max(total, 1))
+    few = rows.withColumn("o", o).where(F.pmod(F.col("o"), F.lit(1 << 31)) < int(share * (1 << 31)))
+    one = few.groupBy("o").agg(*[F.first(F.col(f"`{c}`")).alias(c) for c in rows.columns])
+    return one.orderBy("o").limit(max_rows)
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """Connected components by alternating large and small stars.
 

@@ -11,11 +11,13 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
-from .common import partitions, text_batches
+from .common import partitions, pieces
 
 #: Min-hashes a level, of one byte each.
 HASHES = 64
@@ -182,27 +184,40 @@ def edited(text: str, following: str) -> str:
     return text[: len(text) - k] + following[:k]
 
 
+def _bounds(marks: list[int]) -> list[tuple[int, int]]:
+    """Distinct ends of ranges (doc_id, hash of text) from ascending quantiles of doc_id. A doc_id that is several quantiles has that share of
+    all rows, and is cut into as many ranges of the hash and one more."""
+    out = []
+    for k in sorted(set(marks)):
+        c = marks.count(k)
+        out += [(k, -(1 << 63) + i * ((1 << 64) // c)) for i in range(c)]
+    return out
+
+
 def with_next(docs: DataFrame, per_rows, schema: str) -> DataFrame:
     """per_rows(list of (text, next text)) for all rows, as dicts with the fields of schema, in ascending order of
     doc_id; the last row's next is the first.
 
-    Rows are dealt by ranges of doc_id; the first row of each range also goes to the range before, so texts are shuffled
-    once and no task sees more than its range. Ties of doc_id are ordered by a hash of the text; null doc_ids come first.
+    Rows are dealt by ranges of doc_id, and of a hash of the text where one doc_id has many rows; the first row of each range
+    also goes to the range before, so texts are shuffled once and no task sees more than its range. Ties of doc_id are ordered by a hash of the text; null doc_ids come first.
     """
     spark = docs.sparkSession
-    text_batches(spark)
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     n = partitions(spark)
-    bounds = sorted(set(slim.select("doc_id").approxQuantile("doc_id", [i / n for i in range(1, n)], 0.1 / n))) if n > 1 else []
     key = F.coalesce("doc_id", F.lit(-(1 << 63)))
+    slim = slim.withColumn("h", F.xxhash64("text"))
+    marks = sorted(slim.select(key.cast("double").alias("k")).approxQuantile("k", [i / n for i in range(1, n)], 0.1 / n)) if n > 1 else []
+    bounds = _bounds([min(int(m), (1 << 63) - 1) for m in marks])
+
     # halving: log2(n) comparisons a row
     def bucket(lo: int, hi: int):
         if lo == hi:
             return F.lit(lo)
         mid = (lo + hi) // 2
-        return F.when(key < F.lit(int(bounds[mid])), bucket(lo, mid)).otherwise(bucket(mid + 1, hi))
+        k, h = bounds[mid]
+        return F.when((key < F.lit(k)) | ((key == F.lit(k)) & (F.col("h") < F.lit(h))), bucket(lo, mid)).otherwise(bucket(mid + 1, hi))
 
-    slim = slim.withColumn("part", bucket(0, len(bounds))).withColumn("h", F.xxhash64("text"))
+    slim = slim.withColumn("part", bucket(0, len(bounds)))
     firsts = sorted((r.part, r.m.k, r.m.h) for r in slim.groupBy("part").agg(F.min(F.struct(key.alias("k"), "h")).alias("m")).collect())  # one row a part
     if not firsts:
         return spark.createDataFrame([], f"doc_id long, {schema}")
@@ -214,26 +229,33 @@ def with_next(docs: DataFrame, per_rows, schema: str) -> DataFrame:
     dealt = both.select("doc_id", "text", "h", F.explode(targets).alias("t")).select("t.p", "t.halo", "doc_id", "h", "text")
     ordered = dealt.repartition(n, "p").sortWithinPartitions("p", "halo", F.asc_nulls_first("doc_id"), "h")
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held = None  # the last row, which waits for its next
-        for pdf in batches:
-            ids, pairs = [], []
-            for row in zip(pdf["p"].tolist(), pdf["halo"].tolist(), pdf["doc_id"].astype("Int64"), pdf["text"].tolist(), strict=True):
-                if held is not None and held[0] == row[0] and not held[1]:
-                    ids.append(held[2])
-                    pairs.append((held[3], row[3]))
-                held = row
-            if ids:
-                yield pd.DataFrame(per_rows(pairs)).assign(doc_id=pd.array(ids, dtype="Int64"))
+    out = to_arrow_schema(StructType.fromDDL(f"doc_id long, {schema}"))
 
-    return ordered.mapInPandas(run, f"doc_id long, {schema}")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None  # the last row, which waits for its next
+        for batch in batches:
+            columns = [batch.column(c).to_pylist() for c in ("p", "halo", "doc_id", "text")]
+            for a, b in pieces(columns[3]):
+                ids, pairs = [], []
+                for row in zip(*[c[a:b] for c in columns], strict=True):
+                    if held is not None and held[0] == row[0] and not held[1]:
+                        ids.append(held[2])
+                        pairs.append((held[3], row[3]))
+                    held = row
+                if ids:
+                    found = per_rows(pairs)
+                    made = {"doc_id": ids} | {k: [r[k] for r in found] for k in found[0]}
+                    yield pa.RecordBatch.from_arrays([pa.array(made[f.name], type=f.type) for f in out], schema=out)
+
+    return ordered.mapInArrow(run, f"doc_id long, {schema}")
 
 
 def compare_with_next(docs: DataFrame) -> DataFrame:
-    """doc_id, n_chars, edited_text, fingerprint, edited_fingerprint, near_edited, near_next of every row of docs.
+    """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next of every row of docs.
 
     Null texts are empty; empty texts have the fingerprint ''; two empty texts are alike to 1. A table of one row is its own
-    next. Other columns are not kept.
+    next. Rows that share a doc_id follow each other by a hash of the text, rows that are equal in any order; null doc_ids come
+    first. Texts count whole, however long; an empty table gives an empty result. Other columns are not kept.
     """
     def rows(pairs: list[tuple[str, str]]) -> list[dict]:
         changed = [edited(a, b) for a, b in pairs]

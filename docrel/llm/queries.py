@@ -15,8 +15,7 @@ def _sha(text) -> object:
 
 def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
-    samples = secret_scan.labelled_samples() + secret_scan.corpus_samples(docs)
-    out = secret_scan.scan(docs, secret_scan.Markov(samples))
+    out = secret_scan.scan(docs)
     text = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
     base = F.filter("spans", lambda s: s["kind"] != "random")
     return out.select("doc_id", "n_assign", "n_access", "n_hex", _sha(text(base)).alias("base_sha256"), text(F.col("spans")).alias("spans"), "n_random")
@@ -76,28 +75,30 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, benchmark = read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")
     out = decontam.matches(docs.select("doc_id", "text"), benchmark)
     items = F.sha2(F.array_join("items", ",").cast("binary"), 256)
-    return out.select("doc_id", "n_words", "n_hit", "n_items", items.alias("items_sha256"), "contaminated")
+    return out.select("doc_id", "n_words", "n_hit", "n_items", items.alias("items_sha256"), "contaminated", "longest", F.col("matches").getItem(0)["at"].cast("long").alias("first_hit"))
 
 
 OP9_SQL = r"""
 WITH ab AS (SELECT 'ABCDEFGHIJKLMNOPQRSTUVWXYZ' AS u, 'abcdefghijklmnopqrstuvwxyz' AS l),
 d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), u, l), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents, ab),
-b AS (SELECT CAST(item_id AS VARCHAR) AS item_id, regexp_extract_all(translate(coalesce(text, ''), u, l), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark, ab WHERE item_id IS NOT NULL),
-bw AS (SELECT item_id, w, least(10, len(w)) AS m, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS j FROM b WHERE len(w) > 0),
-win AS (SELECT DISTINCT item_id, m, array_to_string(w[j:j + m - 1], ' ') AS s, m AS n FROM bw),
+b AS (SELECT row_number() OVER () AS o, CAST(item_id AS VARCHAR) AS item_id, regexp_extract_all(translate(coalesce(text, ''), u, l), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark, ab WHERE item_id IS NOT NULL),
+bw AS (SELECT o, item_id, w, least(10, len(w)) AS m, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS j FROM b WHERE len(w) > 0),
+win AS (SELECT o, item_id, m, j, array_to_string(w[j:j + m - 1], ' ') AS s FROM bw),
 ms AS (SELECT DISTINCT m FROM win),
 dw AS (SELECT r, m, w, unnest(range(1, len(w) - m + 2)) AS i FROM d, ms WHERE len(w) >= m),
 spots AS (SELECT r, i, dw.m AS m, array_to_string(w[i:i + dw.m - 1], ' ') AS s FROM dw),
-hits AS (SELECT r, i, win.m AS m, item_id FROM spots JOIN win ON spots.m = win.m AND spots.s = win.s),
+hits AS (SELECT r, i, j, o, win.m AS m, item_id FROM spots JOIN win ON spots.m = win.m AND spots.s = win.s),
 pos AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(i, i + m)) AS p FROM hits) GROUP BY r),
+islands AS (SELECT r, o, m, i - j AS diagonal, i, i - row_number() OVER (PARTITION BY r, o, i - j ORDER BY i) AS island FROM hits),
+runs AS (SELECT r, min(i) - 1 AS at, count(*) + any_value(m) - 1 AS n FROM islands GROUP BY r, o, diagonal, island),
+most AS (SELECT r, max(n) AS longest, min(at) AS first_hit FROM runs GROUP BY r),
 its AS (SELECT r, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS s FROM (SELECT DISTINCT r, item_id FROM hits) GROUP BY r)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
-  sha256(coalesce(s, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
-FROM d LEFT JOIN pos USING (r) LEFT JOIN its USING (r)
+  sha256(coalesce(s, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated, CAST(coalesce(longest, 0) AS BIGINT) AS longest, CAST(first_hit AS BIGINT) AS first_hit
+FROM d LEFT JOIN pos USING (r) LEFT JOIN its USING (r) LEFT JOIN most USING (r)
 """
 
 
-
 def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     out = langid.predict(docs.select("doc_id", "text"), langid.fit(docs))

@@ -26,7 +26,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import partitions, stage, text_batches
+from .common import partitions, stage
 
 LENGTH, K = 50, 20
 LEFT = LENGTH - K
@@ -40,6 +40,9 @@ _TABLE = _RNG.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uin
 _BASE = 0x9E3779B97F4A7C15
 _POW = {n: np.uint64(pow(_BASE, n, 1 << 64)) for n in (1, 2, 4, 8)}
 _HASH_BITS = 48
+_WEIGHTS = _RNG.integers(0, 1 << 63, LENGTH + LEFT + 2, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+#: Anchors whose surroundings are looked at together.
+RECORDS = 1 << 15
 
 
 def _pack(x, level: int = 3) -> bytes:
@@ -115,25 +118,32 @@ class Chunk:
 
     def items(self, shared: np.ndarray) -> tuple[list[tuple[bytes, bytes]], list[int], np.ndarray]:
         """Sorted distinct (suffix, reversed left context) at shared anchors, the least key of each, and (doc, place, item)."""
-        index: dict[tuple[bytes, bytes], int] = {}
-        least: list[int] = []
-        spots = []
-        for d, q in zip(self.doc[shared].tolist(), self.at[shared].tolist(), strict=True):
-            t = self.texts[d]
-            item = (t[q : q + LENGTH], t[max(0, q - LEFT) : q][::-1])
-            i = index.setdefault(item, len(least))
-            key = int(self.keys[d])
-            if i == len(least):
-                least.append(key)
-            elif key < least[i]:
-                least[i] = key
-            spots.append((d, q, i))
-        order = sorted(index)
+        d, q = self.doc[shared], self.at[shared]
+        sizes = np.array([len(t) for t in self.texts], dtype=np.int64)
+        pad = bytes(LENGTH)
+        data = np.frombuffer(pad + pad.join(self.texts) + pad, np.uint8)
+        begin = LENGTH + np.concatenate(([0], np.cumsum(sizes + LENGTH)))[:-1]
+
+        def records(rows: np.ndarray) -> np.ndarray:
+            around = data[(begin[d[rows]] + q[rows])[:, None] + np.arange(-LEFT, LENGTH)]
+            return np.column_stack([around, np.minimum(sizes[d[rows]] - q[rows], LENGTH), np.minimum(q[rows], LEFT)]).astype(np.uint8)
+
+        blocks = [np.arange(i, min(i + RECORDS, len(d))) for i in range(0, len(d), RECORDS)]
+        digest = np.concatenate([(records(b) * _WEIGHTS).sum(axis=1, dtype=np.uint64) for b in blocks] + [np.empty(0, np.uint64)])
+        _, first, which = np.unique(digest, return_index=True, return_inverse=True)
+        if not all((records(b) == records(first[which[b]])).all() for b in blocks):  # two records with one digest
+            every = np.concatenate([np.ascontiguousarray(records(b)).view(f"V{LEFT + LENGTH + 2}").ravel() for b in blocks])
+            _, first, which = np.unique(every, return_index=True, return_inverse=True)
+        found = []
+        for doc, at in zip(d[first].tolist(), q[first].tolist(), strict=True):
+            t = self.texts[doc]
+            found.append((t[at : at + LENGTH], t[max(0, at - LEFT) : at][::-1]))
+        least = np.full(len(found), np.iinfo(np.int64).max)
+        np.minimum.at(least, which, self.keys[d])
+        order = sorted(range(len(found)), key=found.__getitem__)
         rank = np.empty(len(order), np.int64)
-        rank[[index[x] for x in order]] = np.arange(len(order))
-        where = np.array(spots, dtype=np.int64).reshape(-1, 3)
-        where[:, 2] = rank[where[:, 2]]
-        return order, [least[index[x]] for x in order], where
+        rank[order] = np.arange(len(order))
+        return [found[i] for i in order], least[order].tolist(), np.column_stack([d, q, rank[which]]).reshape(-1, 3)
 
 
 def encode_run(items: list[tuple[bytes, bytes]], keys: list[int]) -> bytes:
@@ -263,12 +273,11 @@ def masks(runs: list[Run]) -> list[np.ndarray]:
 def suffix_dedup(docs: DataFrame) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept binary): every row of docs without its repeated bytes.
 
-    Null texts are empty. Rows with equal doc_ids are separate documents of which neither is smaller; null doc_ids are equal to each other and smaller
-    than any other. Other columns are not kept. Cut characters can leave kept invalid as UTF-8, so it is binary.
+    Null texts are empty, and empty ones lose nothing. Rows with equal doc_ids, repeated rows too, are separate documents of which neither is
+    smaller; null doc_ids are equal to each other and smaller than any other. Texts count whole, however long or repetitive. An empty table gives an
+    empty result. Other columns are not kept. Cut characters can leave kept invalid as UTF-8, so it is binary.
     """
     spark = docs.sparkSession
-    text_batches(spark)
-    ranges = 2 * partitions(spark)
     smallest = -(1 << 63)
 
     def chunked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -289,11 +298,10 @@ def suffix_dedup(docs: DataFrame) -> DataFrame:
             yield row()
 
     slim = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(smallest)).alias("k"), F.coalesce("text", F.lit("")).alias("text"))
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "400")
     # the filter is what the first join adds anyway; with it both joins read one and the same exchange of the texts
     chunks = stage(slim.mapInPandas(chunked, "chunk long, keys array<long>, blob binary")).where("chunk IS NOT NULL")
-    # from here on a row is a chunk or a blob
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")
+    # from here on a row is a chunk or a blob; a range gets about as much as a chunk has, whatever there is
+    ranges = max(2 * partitions(spark), chunks.count())
     edges = [(i << _HASH_BITS) // ranges for i in range(1, ranges)]
 
     def announce(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -310,7 +318,10 @@ def suffix_dedup(docs: DataFrame) -> DataFrame:
 
     told = stage(chunks.mapInPandas(announce, "r int, c long, data binary"))
     # ends are K-grams: suffixes that share one may share a string, and so must meet in one range
-    sample = sorted(bytes(s.data)[:K] for s in told.where("r = -1").orderBy(F.xxhash64("c", "data")).limit(SAMPLES * ranges).collect())
+    drawn = told.where("r = -1").select("c", F.substring("data", 1, K).alias("gram"))
+    share = min(1.0, SAMPLES * ranges / max(drawn.count(), 1))  # so about SAMPLES grams a range come to the driver, from all tasks together
+    drawn = drawn.where(F.pmod(F.xxhash64("c", "gram"), F.lit(1 << 31)) < int(share * (1 << 31)))
+    sample = sorted(bytes(x.gram) for x in drawn.select("gram").collect())
     ends = [sample[i * len(sample) // ranges] for i in range(1, ranges)] if sample else []
 
     def shared(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:

@@ -1,8 +1,9 @@
 """Toxicity by weak supervision.
 
-Many voters (lexicons, stems, patterns) vote toxic, clean or abstain on a bounded sample. A generative model of
-the votes estimates each voter's accuracy and the correlations among voters by EM, with no use of a single
-true label but as one more voter. A linear classifier over words and stems then learns the posteriors.
+Many voters vote on a bounded sample of the rows that may be learned from: given lexicons and patterns, and lexicon entries (words
+and word beginnings) proposed from labelled rows. A generative model of the votes estimates each voter's accuracy and the correlations
+among voters by EM; it sees votes, never a row's label. Labels propose voters and set the prior of the classes and of each
+voter's rates, as a development set does. A linear classifier over words and word beginnings then learns the posteriors.
 """
 
 from __future__ import annotations
@@ -17,14 +18,21 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc_mod, stage, text_batches
+from .common import chosen_rows, crc_mod, stage, with_columns
 
-#: Rows of documents, at most, that the models are fitted on: labelled ones first by a hash of doc_id.
+#: Labelled rows, at most, that the models are fitted on, chosen by a hash of the row.
 MAX_SAMPLE = 12_000
-#: Features kept for the voters and the classifier, at most.
-MAX_VOTERS, MAX_FEATURES = 300, 40_000
+#: Significant features kept, at most (the most significant first): bounds what the driver holds and sends. At MAX_SAMPLE rows of
+#: the test tables some 2,000 pass the test of significance.
+MAX_FEATURES = 40_000
 #: Sample documents a feature must be in, and standard errors by which its shares in the two classes must differ.
 MIN_DOCS, MIN_Z = 4, 3.5
+#: A feature becomes a voter if it is in so many toxic rows for each row that has it.
+PROPOSED = 0.9
+#: Voters whose votes correlate above this within classes share their weight.
+CORRELATED = 0.3
+#: How many times the labelled rows count in the prior of a voter's rates.
+PRIOR_WEIGHT = 5.0
 THRESHOLD = 0.7
 STEMS = (4, 5, 6)
 
@@ -36,6 +44,7 @@ LEXICONS = {
 }
 _WORD = re.compile(r"[^\W\d_]+")
 _PATTERNS = {"shout": re.compile(r"(?:\b[A-Z]{3,}\b[\s!]*){4}"), "address": re.compile(r"\b(?:you|your|u) (?:are|r)\b", re.I), "bangs": re.compile(r"!{3,}")}
+_LEXICONS = {n: frozenset(x.split()) for n, x in LEXICONS.items()}
 
 
 def features(text: str | None) -> set[str]:
@@ -49,51 +58,46 @@ def pattern_votes(text: str | None) -> list[str]:
     """Names of the patterns and lexicons that match."""
     text = text or ""
     words = set(_WORD.findall(text.lower()))
-    return [n for n, p in _PATTERNS.items() if p.search(text)] + [n for n, x in LEXICONS.items() if not words.isdisjoint(x.split())]
+    return [n for n, p in _PATTERNS.items() if p.search(text)] + [n for n, x in _LEXICONS.items() if not words.isdisjoint(x)]
 
 
-def _shares(z: np.ndarray) -> np.ndarray:
-    """One over one plus a voter's correlations above 0.3 with the others; z: votes less what is expected of them."""
-    z = z / np.sqrt((z * z).mean(axis=0) + 1e-6)
-    corr = np.clip(z.T @ z / max(len(z), 1), -1, 1)
-    np.fill_diagonal(corr, 0)
-    return 1 / (1 + np.where(corr > 0.3, corr, 0).sum(axis=1))
+def label_model(votes: np.ndarray, prior: float, rates: np.ndarray | None = None, weight: tuple[float, float] = (0.0, 0.0), rounds: int = 60) -> tuple[np.ndarray, dict]:
+    """Posterior of class 1 for rows of votes, and the model.
 
-
-def label_model(votes: np.ndarray, rounds: int = 40, prior: float = 0.1, trusted: int | None = None) -> tuple[np.ndarray, dict]:
-    """Posterior of y = 1 for rows of votes in {-1, 0, 1}, and the model.
-
-    Each voter has P(vote | y). The E step sums log-likelihood ratios; a voter's ratio is divided by one plus the sum of
-    its positive correlations, within classes, with the voters it agrees with, so that a family of voters that repeat each other counts
-    about once. A trusted voter's ratio is not divided.
+    votes: 1 where a voter fires, 0 where it abstains. Each voter fires with one rate in class 0 and one in class 1; that none fires is a vote
+    too, the last. rates (2 x voters + 1) are the means of the rates' priors, which count as weight rows of either class. Without them
+    the prior is that a voter is right four times in five, and counts as much as the votes: else the strongest correlation, not
+    the class, would be what is learnt. The E step sums the log ratios of the voters that
+    fired, each divided by one plus the sum of its correlations above CORRELATED within classes, so that voters that repeat each other count about
+    once. The M step estimates rates and, every tenth round, correlations.
     """
-    n, k = votes.shape
-    share = _shares(votes.astype(np.float32) - votes.mean(axis=0, dtype=np.float32))  # before classes are known
-    if trusted is not None:
-        share[trusted] = 1
-    start = votes @ share
-    post = np.where(start > 0, 0.9, np.where(start < 0, 0.02, prior))
-    seen = [(votes == v).astype(np.float32) for v in (-1, 0, 1)]
+    whole = np.column_stack([votes, votes.sum(axis=1) == 0]).astype(np.float64)
+    n, k = whole.shape
+    if rates is None:
+        share = whole.mean(axis=0) + 1e-4
+        rates = np.clip(np.array([0.2 * share / (1 - prior), 0.8 * share / prior]), 1e-5, 0.95)
+        rates[:, -1] = 0.9 * share[-1] + 0.05, 0.1  # a toxic row on which nobody fires is rare
+        weight = (n * (1 - prior), n * prior)
+    first, now, post = rates, rates, np.full(n, prior)
+    spread = np.ones(k)
     for step in range(rounds):
-        mass = np.array([(1 - post).sum(), post.sum()]) + 1e-9
-        table = np.empty((2, 3, k))
-        for v in range(3):
-            table[1, v], table[0, v] = post @ seen[v] + 0.05, (1 - post) @ seen[v] + 0.05
-        table /= table.sum(axis=1, keepdims=True)
         if step % 10 == 0:
-            z = votes - (post[:, None] * (table[1, 2] - table[1, 0])[None] + (1 - post)[:, None] * (table[0, 2] - table[0, 0])[None])
-            share = _shares(z.astype(np.float32)) if step else share
-            if trusted is not None:
-                share[trusted] = 1
-        ratio = np.log(table[1]) - np.log(table[0])
-        logit = math.log(mass[1] / mass[0]) + sum(seen[v] @ (ratio[v] * share) for v in range(3))
+            z = whole[:, :-1] - (post[:, None] * now[1, :-1] + (1 - post[:, None]) * now[0, :-1])
+            z /= np.sqrt((z * z).mean(axis=0) + 1e-6)
+            corr = z.T @ z / max(n, 1)
+            np.fill_diagonal(corr, 0)
+            spread[:-1] = 1 / (1 + np.where(corr > CORRELATED, corr, 0).sum(axis=1))
+        logit = math.log(prior / (1 - prior)) + whole @ (spread * np.log(now[1] / now[0]))
         new = 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
-        done = np.abs(new - post).max() < 1e-5 and step % 10
-        post = new
-        if done:
+        moved, post = np.abs(new - post).max(initial=0), new
+        both = np.array([1 - post, post])
+        mass = both.sum(axis=1)
+        now = np.array([(both[c] @ whole + weight[c] * first[c] + 0.05 * first[c]) / (mass[c] + weight[c] + 0.05) for c in (0, 1)])
+        now = np.clip(now, 1e-6, 1 - 1e-6)
+        if moved < 1e-5 and step % 10:
             break
-    model = {"table": table, "share": share, "accuracy": (post @ (votes > 0) + (1 - post) @ (votes < 0)) / np.maximum(np.abs(votes).sum(axis=0), 1)}
-    return post, model
+    fired = np.maximum(whole.sum(axis=0), 1e-9)
+    return post, {"rates": now, "share": spread, "accuracy": post @ whole / fired}
 
 
 def _lists(column) -> list[np.ndarray]:
@@ -131,11 +135,30 @@ def linear(rows: list[np.ndarray], target: np.ndarray, n_features: int, epochs:
     return w, bias
 
 
+def calibrate(rows: list[np.ndarray], target: np.ndarray, n_features: int, folds: int = 3, seed: int = 3) -> tuple[float, float]:
+    """Scale and shift that turn raw scores into probabilities, from scores of rows that the weights were not fitted on."""
+    fold = np.random.default_rng(seed).integers(0, folds, len(rows))
+    raw = np.zeros(len(rows))
+    for f in range(folds):
+        on, off = np.flatnonzero(fold != f), np.flatnonzero(fold == f)
+        w, bias = linear([rows[i] for i in on], target[on], n_features)
+        raw[off] = [w[rows[i]].sum() + bias for i in off]
+    scale, shift = 1.0, 0.0
+    for _ in range(50):  # Newton's method
+        p = 1 / (1 + np.exp(-np.clip(scale * raw + shift, -30, 30)))
+        g, h = p - target, p * (1 - p) + 1e-9
+        step = np.linalg.solve([[(h * raw * raw).sum() + 1e-3, (h * raw).sum()], [(h * raw).sum(), h.sum() + 1e-3]], [(g * raw).sum(), g.sum()])
+        scale, shift = scale - step[0], shift - step[1]
+        if np.abs(step).max() < 1e-6:
+            break
+    return (float(scale), float(shift)) if scale > 0 and math.isfinite(scale + shift) else (1.0, 0.0)
+
+
 class Scorer:
     """Weights of words and stems; picklable. score() depends on the text alone."""
 
-    def __init__(self, weights: dict[str, float], bias: float, scale: float = 1.0, shift: float = 0.0):
-        self.weights, self.bias, self.scale, self.shift, self._memo = weights, bias, scale, shift, {}
+    def __init__(self, weights: dict[str, float], bias: float, scale: float = 1.0, shift: float = 0.0, report: dict | None = None):
+        self.weights, self.bias, self.scale, self.shift, self.report, self._memo = weights, bias, scale, shift, report or {}, {}
 
     def raw(self, text: str | None) -> float:
         memo, weights, total, stems = self._memo, self.weights, self.bias, {}
@@ -160,92 +183,83 @@ class Scorer:
 
 
 def sample(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_SAMPLE) -> DataFrame:
-    """(text, toxic) of at most max_rows rows that may be learned from: labelled, and not held out."""
-    marks = labels.where("toxic IS NOT NULL AND doc_id IS NOT NULL").where(crc_mod("doc_id", 3) != 1)
-    marks = marks.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
-    # at most max_rows pairs of numbers
-    return docs.select(F.col("doc_id").alias("_docrel_id"), "text").join(F.broadcast(marks), F.col("_docrel_id") == F.col("doc_id")).select("doc_id", "text", F.col("toxic").cast("int").alias("toxic"))
+    """(o, text, toxic) of at most max_rows distinct rows that may be learned from: labelled, and not held out.
+
+    Rows are chosen by hashes of doc_id and text, so an id that repeats cannot pass the bound. Marks that differ for one doc_id count as toxic.
+    """
+    may = F.coalesce(crc_mod("doc_id", 3) != 1, F.lit(False))
+    marks = labels.where("toxic IS NOT NULL").where(may).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
+    key = F.xxhash64("doc_id", F.coalesce("text", F.lit("")))
+    marked = stage(docs.where(may).select("doc_id", key.alias("row")).join(marks, "doc_id").select("row", "toxic"))
+    chosen = chosen_rows(marked, max_rows).select("o", "row", "toxic")  # at most max_rows rows of numbers, so broadcast
+    texts = docs.where(may).select("text", key.alias("row")).join(F.broadcast(chosen), "row")
+    return texts.groupBy("o").agg(F.first("text").alias("text"), F.first("toxic").alias("toxic"))
 
 
 def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_SAMPLE) -> Scorer:
-    """Lexicon induction, label model and classifier on the bounded sample. Without labelled rows of both classes, the
-    given lexicons alone decide."""
-    text_batches(docs.sparkSession)
+    """Voters, label model and classifier on the bounded sample. Without labelled rows of both classes, the given lexicons alone
+    decide. The scorer's report has the number of voters and how often the posteriors agree with the labels."""
 
     def extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             texts = [t if isinstance(t, str) else None for t in pdf["text"]]
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "toxic": pdf["toxic"], "f": [sorted(features(t)) for t in texts], "p": [pattern_votes(t) for t in texts]})
+            yield pd.DataFrame({"o": pdf["o"], "toxic": pdf["toxic"], "f": [sorted(features(t)) for t in texts], "p": [pattern_votes(t) for t in texts]})
 
-    found = sample(docs, labels, max_rows).mapInPandas(extract, "doc_id long, toxic int, f array<string>, p array<string>")
-    found = stage(found)
-    seen = found.select("toxic", F.explode("f").alias("f")).groupBy("f").agg(F.count("*").alias("n"), F.sum("toxic").alias("t")).where(F.col("n") >= MIN_DOCS)
-    # bounded: by max_rows documents' features that pass, and by MAX_FEATURES
+    found = stage(sample(docs, labels, max_rows).mapInPandas(extract, "o long, toxic int, f array<string>, p array<string>"))
     n_all, n_toxic = found.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     if not n_all or not 0 < n_toxic < n_all:
         return Scorer({f"w:{w}": 4.0 for x in LEXICONS.values() for w in x.split()}, -2.0)
+    seen = found.select("toxic", F.explode("f").alias("f")).groupBy("f").agg(F.count("*").alias("n"), F.sum("toxic").alias("t")).where(F.col("n") >= MIN_DOCS)
     n, t, clean = F.col("n"), F.col("t"), n_all - n_toxic
     apart = (t / n_toxic - (n - t) / clean) / F.sqrt(n / n_all * (1 - n / n_all) * (1 / n_toxic + 1 / clean) + 1e-12)
     kept = seen.withColumn("z", apart).where(F.abs("z") >= MIN_Z).orderBy(F.desc(F.abs("z")), "f").limit(MAX_FEATURES).collect()
     index = {r.f: i for i, r in enumerate(kept)}
-    strong = [r.f for r in kept if r.z > 0 and r.t >= 0.9 * r.n][:MAX_VOTERS]
+    proposed = [r.f for r in kept if r.z > 0 and r.t >= PROPOSED * r.n]
     names = {n: i for i, n in enumerate([*_PATTERNS, *LEXICONS])}
     del kept
-    sent = docs.sparkSession.sparkContext.broadcast((index, names))
+    sent = docs.sparkSession.sparkContext.broadcast((index, names))  # at most MAX_FEATURES strings
 
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         number, named = sent.value
         for pdf in batches:
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "toxic": pdf["toxic"], "f": [[number[x] for x in f if x in number] for f in pdf["f"]], "p": [[named[x] for x in p] for p in pdf["p"]]})
+            yield pd.DataFrame({"o": pdf["o"], "toxic": pdf["toxic"], "f": [[number[x] for x in f if x in number] for f in pdf["f"]], "p": [[named[x] for x in p] for p in pdf["p"]]})
 
-    # numbers of at most MAX_FEATURES features for max_rows documents
-    table = found.mapInPandas(encode, "doc_id long, toxic int, f array<int>, p array<int>").orderBy("doc_id", F.xxhash64("f")).toArrow()
-    toxic = table["toxic"].to_numpy()
-    rows = _lists(table["f"])
+    # numbers of at most MAX_FEATURES features for max_rows rows
+    table = found.mapInPandas(encode, "o long, toxic int, f array<int>, p array<int>").orderBy("o").toArrow()
+    toxic, rows = table["toxic"].to_numpy(), _lists(table["f"])
     spot = np.full(len(index), -1, dtype=np.int64)
-    spot[[index[f] for f in strong]] = np.arange(len(strong))
-    votes = np.zeros((len(rows), len(strong) + len(names) + 2), dtype=np.int8)
-    for v, f, p, y in zip(votes, rows, _lists(table["p"]), toxic, strict=True):
+    spot[[index[f] for f in proposed]] = np.arange(len(proposed))
+    votes = np.zeros((len(rows), len(proposed) + len(names)), dtype=np.float32)
+    for v, f, p in zip(votes, rows, _lists(table["p"]), strict=True):
         on = spot[f]
-        on = on[on >= 0]
-        v[on] = 1
-        v[p + len(strong)] = 1
-        v[-2] = 0 if len(on) else -1  # nothing on any lexicon: clean
-        v[-1] = 1 if y else -1  # the mark, as one more voter
-    post, _ = label_model(votes, trusted=-1)
+        v[on[on >= 0]] = 1
+        v[p + len(proposed)] = 1
+    prior = n_toxic / n_all
+    none = votes.sum(axis=1) == 0
+    rates = np.array([(np.append(votes[toxic == c].sum(axis=0), none[toxic == c].sum()) + 0.25) / ((toxic == c).sum() + 1) for c in (0, 1)])
+    post, model = label_model(votes, prior, rates, (PRIOR_WEIGHT * clean, PRIOR_WEIGHT * n_toxic))
     w, bias = linear(rows, post, len(index))
-    raw = np.array([w[r].sum() for r in rows]) + bias
-    # threshold at the middle of the gap that serves the posteriors best
-    order = np.argsort(raw)
-    hard = (post[order] > 0.5).astype(int)
-    wrong = np.concatenate(([0], np.cumsum(hard))) + np.concatenate((np.cumsum((1 - hard)[::-1])[::-1], [0]))
-    best = np.flatnonzero(wrong == wrong.min())
-    edges = np.concatenate(([raw.min() - 1], raw[order], [raw.max() + 1]))
-    cut = float(np.mean([(edges[i] + edges[i + 1]) / 2 for i in best]))
-    scale = 1.0
-    shift = math.log(THRESHOLD / (1 - THRESHOLD)) - scale * cut
+    scale, shift = calibrate(rows, post, len(index))
     weights = {f: float(w[i]) for f, i in index.items() if abs(w[i]) > 1e-3}
-    return Scorer(weights, float(bias), scale, shift)
+    agree = float(((post > 0.5) == toxic).mean())
+    return Scorer(weights, float(bias), scale, shift, {"rows": len(rows), "voters": votes.shape[1], "agreement": agree, "correlated": int((model["share"] < 1).sum())})
 
 
-def score(docs: DataFrame, scorer: Scorer, threshold: float = THRESHOLD) -> DataFrame:
+def score(docs: DataFrame, scorer: Scorer, threshold: float = THRESHOLD, names: tuple[str, str] = ("score", "predicted")) -> DataFrame:
     """docs with score (0 to 1) and predicted (1 at the threshold or above); columns of these names are replaced.
 
-    Null and empty texts score what a text without words scores. Long texts count whole.
+    Null and empty texts score what a text without words scores. Long texts count whole. Equal texts have equal scores; repeated rows and null
+    doc_ids stay as they are; an empty table gives an empty result.
     """
-    text_batches(docs.sparkSession)
-    docs = docs.drop("score", "predicted")
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema] + ["score double", "predicted int"])
     sent = docs.sparkSession.sparkContext.broadcast(scorer)  # at most MAX_FEATURES weights
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        s = sent.value
-        for pdf in batches:
-            scores = np.array([s.score(t if isinstance(t, str) else None) for t in pdf["text"]], dtype=float)
-            yield pdf.assign(score=scores, predicted=(scores >= threshold).astype("int32"))
+    def run(texts: list[str | None]) -> dict[str, list]:
+        scores = [sent.value.score(t) for t in texts]
+        return {names[0]: scores, names[1]: [int(x >= threshold) for x in scores]}
 
-    return docs.mapInPandas(run, schema)
+    return with_columns(docs, {names[0]: "double", names[1]: "int"}, run)
 
 
 def drop_toxic(docs: DataFrame, scorer: Scorer) -> DataFrame:
-    return score(docs, scorer).where("predicted = 0").select(*docs.columns)
+    """docs without those that score() predicts to be toxic; all columns as before. Edge cases are those of score()."""
+    return score(docs, scorer, names=("_docrel_score", "_docrel_toxic")).where("_docrel_toxic = 0").select(*docs.columns)

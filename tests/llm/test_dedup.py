@@ -8,6 +8,7 @@ import pytest
 import xxhash
 from docrel.llm import linededup, simhash, suffixdedup
 from docrel.llm.common import components
+from pyspark.sql import functions as F
 
 
 def test_line_dedup(spark, docs, rows):
@@ -119,6 +120,51 @@ def test_near_dedup_keeps_one_of_each_group(spark, docs, rows):
     assert simhash.near_dedup(docs.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("task_members", [2048, 80])
+def test_near_dedup_is_exact_in_large_groups(spark, task_members):
+    """Near copies of near copies in one large group, exact ones, and strangers, against the components of all pairs."""
+    r = random.Random(21)
+    vocabulary = ["".join(r.choice("abcdefghijklmnop") for _ in range(r.randint(2, 9))) for _ in range(3000)]
+    base = [r.choice(vocabulary) for _ in range(150)]
+    rows = []
+    for i in range(330):
+        w = list(base)
+        for _ in range(r.randint(0, 5)):
+            w[r.randrange(len(w))] = r.choice(vocabulary)
+        rows.append((i, " ".join(w)))
+    rows += [(500 + i, rows[0][1]) for i in range(40)]
+    rows += [(600 + i, " ".join(base[:110] + [r.choice(vocabulary) for _ in range(40)])) for i in range(30)]  # a common beginning, no near copies
+    sets = {i: {tuple(t.split()[k : k + 5]) for k in range(len(t.split()) - 4)} for i, t in rows}
+    root = {i: i for i in sets}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in sets:
+        for j in sets:
+            if i < j and len(sets[i] & sets[j]) / len(sets[i] | sets[j]) >= 0.8:
+                a, b = find(i), find(j)
+                root[max(a, b)] = min(a, b)
+    kept = sorted(x.doc_id for x in simhash.near_dedup(spark.createDataFrame(rows, "doc_id long, text string").repartition(7), task_members=task_members).collect())
+    assert kept == sorted({find(i) for i in sets})
+    assert 100 < len(kept) < 150
+
+
+def test_parts_of_a_large_block_stay_small(spark):
+    hot = spark.range(5000).select(F.lit(1).cast("long").alias("k"), F.col("id").alias("node"), F.lit(5000).cast("long").alias("n"))
+    sizes = [x["count"] for x in simhash._parts(hot, 400).groupBy("k").count().collect()]
+    assert max(sizes) < 520 and sum(sizes) < 1.3 * 5000
+
+
+def test_suffix_dedup_of_long_repetitive_texts(spark):
+    text = "a" * 150_000 + "b" + "ab" * 40_000
+    rows = [(1, text), (2, "x" + text), (3, "abc" * 30_000), (4, "zz" + "abc" * 20)]
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans) for r in suffixdedup.suffix_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: (len(text), 0, 0), 2: (len(text) + 1, len(text), 1), 3: (90_000, 0, 0), 4: (62, 60, 1)}
+
+
 def test_near_dedup_finds_contiguous_edits(spark):
     r = random.Random(11)
     vocabulary = ["".join(r.choice("abcdefghijklmnop") for _ in range(r.randint(2, 9))) for _ in range(3000)]

@@ -8,7 +8,8 @@ import corpus_pipeline
 import duckdb
 import numpy as np
 import pytest
-from docrel.llm import langid, mixing, simhash, toxicity
+from docrel.llm import common, langid, mixing, simhash, suffixdedup, toxicity
+from pyspark.sql import functions as F
 
 PLAIN = {"en": "the of and to in that was with for are this on".split(), "de": "der die und den von ist mit nicht ein auf das sich".split(), "es": "que los del las por una con para como más pero sus".split()}
 
@@ -58,17 +59,98 @@ def test_toxicity_without_labels(spark, tables):
     assert toxicity.score(docs.limit(0), toxicity.fit(docs.limit(0), labels)).count() == 0
 
 
-def test_label_model_weighs_voters():
+def some_votes():
     r = np.random.default_rng(0)
-    y = r.random(3000) < 0.3
-    flip = lambda p: np.where(r.random(3000) < p, ~y, y)
-    good = [np.where(flip(0.1), 1, -1) for _ in range(3)]
-    bad = np.where(flip(0.45), 1, -1)
-    votes = np.array([*good, bad, bad, bad, bad]).T.astype(np.int8)
-    post, model = toxicity.label_model(votes)
-    assert ((post > 0.5) == y).mean() > 0.93
-    assert model["share"][3] < 0.5 < model["share"][0]
-    assert model["accuracy"][:3].min() > model["accuracy"][3:].max()
+    y = r.random(4000) < 0.3
+    fire = lambda p, q: np.where(y, r.random(4000) < p, r.random(4000) < q).astype(float)
+    bad = fire(0.3, 0.25)
+    return y, np.array([*[fire(0.6, 0.02) for _ in range(4)], bad, bad, bad, bad]).T
+
+
+def test_label_model_weighs_voters():
+    y, votes = some_votes()
+    few, marks = np.column_stack([votes, votes.sum(axis=1) == 0])[:300], y[:300]
+    rates = np.array([(few[marks == c].sum(axis=0) + 0.25) / ((marks == c).sum() + 1) for c in (False, True)])
+    post, model = toxicity.label_model(votes, 0.3, rates, (5 * (~marks).sum(), 5 * marks.sum()))
+    assert ((post > 0.5) == y)[300:].mean() > 0.92
+    assert model["share"][4] < 0.5 < model["share"][0]
+    assert model["accuracy"][:4].min() > 0.85 > 0.5 > model["accuracy"][4:8].max()
+    good, _ = toxicity.label_model(votes[:, :4], 0.3)  # no label, and no rate given
+    assert ((good > 0.5) == y).mean() > 0.93
+    assert len(toxicity.label_model(votes[:0], 0.3)[0]) == 0
+
+
+def test_label_model_is_em(monkeypatch):
+    """Without correlations: rows of votes, one at a time, as the rule says."""
+    monkeypatch.setattr(toxicity, "CORRELATED", 2.0)
+    _, votes = some_votes()
+    votes, prior, weight = votes[:300], 0.25, (5.0, 2.0)
+    rows = [[*v, float(not v.any())] for v in votes]
+    mean = [[0.1 + 0.01 * j for j in range(9)], [0.4 - 0.02 * j for j in range(9)]]
+    now = [list(m) for m in mean]
+    for step in range(60):
+        post = []
+        for v in rows:
+            odds = prior / (1 - prior)
+            for j, x in enumerate(v):
+                odds *= (now[1][j] / now[0][j]) if x else 1.0
+            post.append(odds / (1 + odds))
+        moved = 1.0 if not step else max(abs(p - q) for p, q in zip(post, last))  # noqa: F821
+        last = post  # noqa: F841
+        for c in (0, 1):
+            mass = [p if c else 1 - p for p in post]
+            now[c] = [(sum(m * v[j] for m, v in zip(mass, rows)) + (weight[c] + 0.05) * mean[c][j]) / (sum(mass) + weight[c] + 0.05) for j in range(9)]
+        if moved < 1e-5 and step % 10:
+            break
+    got, model = toxicity.label_model(votes, prior, np.array(mean), weight)
+    assert np.abs(got - np.array(post)).max() < 1e-6
+    assert np.abs(model["rates"] - np.array(now)).max() < 1e-6
+
+
+def test_samples_are_bounded_whatever_repeats(spark):
+    same = spark.range(3000).select(F.lit(0).cast("long").alias("doc_id"), F.concat(F.lit("der die das und "), F.col("id").cast("string")).alias("text"), F.lit("de").alias("lang"))
+    same = same.union(same.limit(500)).union(spark.createDataFrame([(8, "el la los las", "es")] * 2000, "doc_id long, text string, lang string"))
+    assert common.chosen_rows(same, 10).count() <= 10
+    assert {r.lang for r in common.chosen_rows(same, 5000).collect()} == {"de", "es"} and common.chosen_rows(same, 5000).count() == 3001
+    labels = spark.createDataFrame([(0, 1), (0, 0), (8, 0)], "doc_id long, toxic int")
+    assert toxicity.sample(same, labels, 20).count() <= 20
+    assert toxicity.sample(same, labels, 9000).groupBy("toxic").count().where("toxic = 1").first()["count"] == 3000
+    model = langid.fit(same, max_rows=12)
+    assert model.langs == ["de"] or model.langs == ["de", "es"]
+
+
+def test_frames_do_not_share_settings(spark, tables):
+    docs, labels = tables
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    one, two = langid.predict(docs, langid.fit(docs)), suffixdedup.suffix_dedup(docs)
+    three = toxicity.score(docs, toxicity.fit(docs, labels))
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == before
+    assert one.count() == two.count() == three.count() == docs.count()
+
+
+def test_ids_pass_untouched(spark):
+    rows = [((1 << 62) + 1, "the of and", "en"), (None, "der die das", "de"), (-(1 << 62) - 1, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").coalesce(1)
+    assert {(r.doc_id, r.text, r.lang) for r in langid.predict(docs, langid.fit(docs)).collect()} == set(rows)
+    assert {r.doc_id for r in simhash.near_components(docs).collect()} == {r[0] for r in rows}
+
+
+def test_spread_join(spark):
+    rows = spark.range(3000).select(F.when(F.col("id") < 1200, 7).otherwise(F.col("id") % 40 + 100).alias("k"), "id")
+    table = rows.groupBy("k").agg(F.count("*").alias("n"), F.max("id").alias("m")).where("k <> 105")
+    got = common.spread_join(rows, table, "k", "n", 3000)
+    assert got.columns == ["k", "id", "m"]
+    want = rows.join(table.drop("n"), "k")
+    assert got.count() == want.count() and got.exceptAll(want).count() == 0
+
+
+def test_scratch_needs_a_shared_folder(spark, monkeypatch):
+    class Far:
+        conf = type("C", (), {"get": staticmethod(lambda *a: None)})()
+        sparkContext = type("S", (), {"master": "spark://host:7077"})()
+
+    with pytest.raises(ValueError, match="share"):
+        common.scratch(Far())
 
 
 def test_language(spark, tables):
