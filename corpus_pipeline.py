@@ -16,7 +16,7 @@ def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated lines go; every document stays, with what is left of its text."""
-    return linededup.line_dedup(docs).select(*docs.columns)
+    return linededup.drop_lines(docs)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
