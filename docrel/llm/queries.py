@@ -75,7 +75,7 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, benchmark = read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")
     out = decontam.matches(docs.select("doc_id", "text"), benchmark)
     items = F.sha2(F.array_join("items", ",").cast("binary"), 256)
-    return out.select("doc_id", "n_words", "n_hit", "n_items", items.alias("items_sha256"), "contaminated", "longest", F.col("matches").getItem(0)["at"].cast("long").alias("first_hit"))
+    return out.select("doc_id", "n_words", "n_hit", "n_items", items.alias("items_sha256"), "contaminated", "longest", F.get("matches", F.lit(0))["at"].cast("long").alias("first_hit"))
 
 
 OP9_SQL = r"""
@@ -90,8 +90,8 @@ spots AS (SELECT r, i, dw.m AS m, array_to_string(w[i:i + dw.m - 1], ' ') AS s F
 hits AS (SELECT r, i, j, o, win.m AS m, item_id FROM spots JOIN win ON spots.m = win.m AND spots.s = win.s),
 pos AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(i, i + m)) AS p FROM hits) GROUP BY r),
 islands AS (SELECT r, o, m, i - j AS diagonal, i, i - row_number() OVER (PARTITION BY r, o, i - j ORDER BY i) AS island FROM hits),
-runs AS (SELECT r, min(i) - 1 AS at, count(*) + any_value(m) - 1 AS n FROM islands GROUP BY r, o, diagonal, island),
-most AS (SELECT r, max(n) AS longest, min(at) AS first_hit FROM runs GROUP BY r),
+runs AS (SELECT r, min(i) - 1 AS place, count(*) + any_value(m) - 1 AS n FROM islands GROUP BY r, o, diagonal, island),
+most AS (SELECT r, max(n) AS longest, min(place) AS first_hit FROM runs GROUP BY r),
 its AS (SELECT r, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS s FROM (SELECT DISTINCT r, item_id FROM hits) GROUP BY r)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
   sha256(coalesce(s, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated, CAST(coalesce(longest, 0) AS BIGINT) AS longest, CAST(first_hit AS BIGINT) AS first_hit
