@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chosen_rows, crc_mod, stage, with_columns
+from .common import chosen_rows, crc_mod, pieces, stage, with_columns
 
 #: Labelled rows, at most, that the models are fitted on, chosen by a hash of the row.
 MAX_SAMPLE = 12_000
@@ -34,6 +34,8 @@ CORRELATED = 0.3
 #: How many times the labelled rows count in the prior of a voter's rates.
 PRIOR_WEIGHT = 5.0
 THRESHOLD = 0.7
+#: Characters of texts whose features are held at once; they take some eighty bytes a character.
+FEATURE_CHARS = 1 << 18
 STEMS = (4, 5, 6)
 
 LEXICONS = {
@@ -203,7 +205,8 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_SAMPLE) -> Score
     def extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             texts = [t if isinstance(t, str) else None for t in pdf["text"]]
-            yield pd.DataFrame({"o": pdf["o"], "toxic": pdf["toxic"], "f": [sorted(features(t)) for t in texts], "p": [pattern_votes(t) for t in texts]})
+            for a, b in pieces(texts, FEATURE_CHARS):
+                yield pd.DataFrame({"o": pdf["o"].iloc[a:b], "toxic": pdf["toxic"].iloc[a:b], "f": [sorted(features(t)) for t in texts[a:b]], "p": [pattern_votes(t) for t in texts[a:b]]})
 
     found = stage(sample(docs, labels, max_rows).mapInPandas(extract, "o long, toxic int, f array<string>, p array<string>"))
     n_all, n_toxic = found.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
