@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from . import patterns as P
+
 VAT = 1.19
 
 
@@ -61,9 +63,47 @@ def item_number(c: Column) -> Column:
 
 
 def numbers_in(c: Column) -> Column:
-    """Distinct amounts written in a text, as whole numbers: digits with thousands dots, or plain."""
-    found = F.regexp_extract_all(F.coalesce(c, F.lit("")), F.lit("[0-9]{1,3}(?:\\.[0-9]{3})+|[0-9]+"), F.lit(0))
-    return F.array_distinct(F.filter(F.transform(found, lambda x: F.replace(x, F.lit("."), F.lit("")).try_cast("bigint")), lambda x: x.isNotNull()))
+    """Distinct amounts written in a text, as whole numbers (half to even): each run of digits, dots and commas is read as parse_number()
+    reads it, without the signs at its end."""
+    found = F.regexp_extract_all(F.coalesce(c, F.lit("")), F.lit(P.NUMBER_IN_TEXT), F.lit(0))
+    read = F.transform(found, lambda x: F.bround(parse_number(F.regexp_replace(x, "[.,]+$", ""))))
+    return F.array_distinct(F.transform(F.filter(read, lambda x: x.isNotNull() & (x < 9e18)), lambda x: x.cast("bigint")))
+
+
+def plausible_amounts(c: Column) -> Column:
+    """Amounts written with thousands signs, from 1,000 to 2,000,000,000, in order."""
+    found = F.regexp_extract_all(F.coalesce(c, F.lit("")), F.lit(f"(?U){P.THOUSANDS_AMOUNT}"), F.lit(1))
+    read = F.transform(found, lambda x: F.regexp_replace(x, "[.,]", "").try_cast("bigint"))
+    return F.filter(read, lambda x: x.between(1_000, 2_000_000_000))
+
+
+def digits_of(c: Column) -> Column:
+    """The digits of a number's whole part, as text; null for null and below zero."""
+    return F.when(c >= 0, F.format_string("%d", F.bround(c).cast("bigint")))
+
+
+def word_is_amount(word: Column, value: Column) -> Column:
+    """Whether a word writes an amount: its digits are the amount's, with up to two zeros after them."""
+    said, want = F.regexp_replace(word, "[^0-9]", ""), digits_of(value)
+    return F.coalesce((said == want) | (said == F.concat(want, F.lit("0"))) | (said == F.concat(want, F.lit("00"))), F.lit(False))
+
+
+def word_is_whole(word: Column, value: Column) -> Column:
+    """Whether a word writes a whole number, with up to two decimal zeros."""
+    bare = F.regexp_replace(F.regexp_replace(word, r"^[ .,;:()$-]+|[ .,;:()$-]+$", ""), r"[.,]0{1,2}$", "")
+    return F.coalesce((value == F.bround(value)) & (bare == F.format_string("%d", value.cast("bigint"))), F.lit(False))
+
+
+def cell_text(c: Column) -> Column:
+    """A number as a cell shows it: whole ones of 1,000 and more with thousands dots, others plain."""
+    whole = c == F.bround(c)
+    return F.when(whole & (F.abs(c) >= 1000), thousands(c)).when(whole, F.format_string("%d", c.cast("bigint"))).otherwise(c.cast("string"))
+
+
+def offered_total(c: Column) -> Column:
+    """An offer's total as it is written in a grid; null if that is no credible offer."""
+    value = parse_number(c)
+    return F.when(value >= P.OFFER_LEAST, value)
 
 
 def thousands(c: Column) -> Column:

@@ -49,7 +49,11 @@ GENERIC_BRAND = r"^(?:(?:marca\s+)?(?:generic[oa]?s?|sin marca|no (?:indica|espe
 # pages and lines
 TECHNICAL_IDENTITY = r"\b(?:marca|modelo)\s*(?::|\||=)|\b(?:brand|model)\s*:"
 TECHNICAL_DETAIL = r"procesador|\bram\b|\bssd\b|\bhdd\b|resoluci[oó]n|pulgadas|\b(?:ddr[345]|hdmi|displayport)\b"
-AMOUNT = r"\b\d{1,3}(?:\.\d{3})+(?:,\d+)?\b|\$\s*\d"
+AMOUNT = r"\$\s*[\d.]|\b\d{1,3}(?:\.\d{3})+(?:,\d+)?\b"
+NUMBER = r"\d+(?:[.,]\d+)*"
+NUMBER_IN_TEXT = r"\d[\d.,]*"
+PRICE_WORD = r"precio|valor|unitario|total|neto|subtotal|monto"
+GENERIC_EQUIPMENT = r"\bequipos?\b"
 PRODUCT_LINE = r"notebook|computador|laptop|all.?in.?one|\baio\b|desktop|monitor|impresora|workstation|servidor|pc\b|equipo|modelo|procesador|ryzen|core\s*i[3579]|\bram\b|ssd|hdd|pulgadas|\bgb\b"
 PRICE_LINE = r"precio|valor|unitario|cantidad|subtotal|total|neto|iva|\$\s*[\d.]|\b\d{1,3}(?:\.\d{3})+(?:,\d+)?\b"
 TOTALS_ROW = r"\b(?:total|neto|iva|bruto|impuestos?|subtotal)\b"
@@ -74,3 +78,48 @@ SUSPECT = r"invalida|fuera_de_rango|no_aparece|repetido_en_otra|no_coincide|conf
 #: Names and contents of documents of past sales.
 HISTORY_NAME = r"experiencia|comprobante|curr[ií]culum|referencias?|orden[_ .-]?de[_ .-]?compra|(?<![a-z])ocs?(?![a-z])|ilovepdf|\d{3,}-\d{1,4}-(?:se|ag|cm|co)\d{2}(?!\d)"
 HISTORY_TEXT = r"nombre\s+orden\s+de\s+compra|n[uú]mero\s+de\s+orden\s+de\s+compra|orden\s+de\s+compra\s*(?:n\W|:)"
+
+#: Families of products that belong to one brand.
+FAMILY_BRANDS = {
+    "probook": "HP", "elitebook": "HP", "zbook": "HP", "proone": "HP", "prodesk": "HP", "elitedesk": "HP", "eliteone": "HP", "pavilion": "HP",
+    "laserjet": "HP", "officejet": "HP", "deskjet": "HP", "smart tank": "HP", "victus": "HP", "omen": "HP", "thinkpad": "Lenovo", "thinkbook": "Lenovo",
+    "ideapad": "Lenovo", "thinkcentre": "Lenovo", "legion": "Lenovo", "loq": "Lenovo", "yoga": "Lenovo", "latitude": "Dell", "optiplex": "Dell", "vostro": "Dell",
+    "inspiron": "Dell", "vivobook": "ASUS", "expertbook": "ASUS", "zenbook": "ASUS", "expertcenter": "ASUS", "macbook": "Apple", "imac": "Apple", "aspire": "Acer",
+    "swift": "Acer", "nitro": "Acer", "travelmate": "Acer", "veriton": "Acer", "ecotank": "Epson", "workforce": "Epson", "pixma": "Canon",
+}
+#: Brands that a description may name.
+BRANDS_IN_TEXT = ("HP", "Lenovo", "Dell", "ASUS", "Acer", "Apple", "Samsung", "Epson", "Canon", "Brother", "MSI", "LG", "Xerox", "Kyocera", "Ricoh", "Lexmark", "ViewSonic", "AOC", "Philips", "Gigabyte", "Huawei", "Xiaomi", "Zebra", "Logitech")
+#: Words that make a description a requirement, so that a brand in it is none.
+REQUIREMENT = r"equivalent|similar|\btipo\b|o superior|compatible|segun bases"
+#: Aliases by which the audit sees a brand in a text.
+BRAND_SEEN_AS = {"hp": ("hp", "hewlett"), "asus": ("asus",), "lenovo": ("lenovo", "thinkpad", "ideapad")}
+
+#: Rows of a count, a kind and one amount.
+GENERIC_NAME = r"notebooks?|laptops?|port[aá]tiles?|computador(?:es|as?)?|equipos?(?:\s+computacionales)?|monitor(?:es)?|pantallas?|impresoras?|multifuncional(?:es)?|all\s*in\s*one|aio|desktops?|pcs?|estaciones?\s+de\s+trabajo|workstations?"
+WITH_VAT = r"con\s+iva|iva\s+incluido|impuestos?\s+incluidos?|valor\s+bruto"
+
+#: Attachments that bear no offer.
+STRICT_EQUIPMENT = r"notebook|laptop|port[aá]til|computador|all.?in.?one|\baio\b|desktop|workstation|monitor|impresora|multifuncional"
+BRAND_OR_FAMILY = r"(?<![A-Za-z0-9])(?:hp|lenovo|dell|asus|acer|apple|samsung|epson|canon|brother|msi|lg|xerox|kyocera|ricoh|lexmark|viewsonic|aoc|philips|gigabyte|huawei|xiaomi|zebra|thinkstation|workstation|precision|estaci[oó]n de trabajo)(?![A-Za-z0-9])"
+ADMIN_NOISE = r"carnet|c[eé]dula|(?<![a-z])rut(?![a-z])|poder|escritura|patente|tributari|certificad|declaraci|integridad|pacto|constituci[oó]n|f[-_ ]?30|antecedentes|inhabilidad|boleta|seriedad|firma|sello|vigencia|anotaciones|domicilio|resoluci[oó]n"
+ADMIN_USEFUL = r"cotiz|econ[oó]m|oferta|precio|ficha|t[eé]cnic|especific|(?<![a-z])ft(?![a-z])|catalogo"
+ATTACHMENT_USEFUL = r"cotiz|ofert(?!ente)|econ[oó]m|precio|valor|ficha|t[eé]cnic|especific|propuesta|cat[aá]logo|resumen|equipo|notebook|computador|monitor|impresora|producto|(?<![a-z])item|(?<![a-z])lote"
+ATTACHMENT_NOISE = r"declara|certific|(?<![a-z])rut(?![a-z])|carnet|c[eé]dula|poder|escritura|integridad|pacto|boleta|patente|tribut|f[-_ ]?30(?!\d)|antecedente|identificaci|seriedad|constituci|vigencia|experiencia|orden(?:es)?[ _-]*de[ _-]*compra|(?<!\d)\d{3,7}-\d{1,4}-(?:se|ag|cm|co|ac|sb)\d{0,2}(?![a-z])|curr[ií]cul|inhabilidad|sello|pol[ií]tica|balance|financier|compromiso|post[ _-]*venta|simult|conflicto|reciclaj|iso[ _-]?\d|bancari|cuenta[ _-]corriente|mujer|pyme|chileproveedores|garant[ií]a|prevenci|delito|factura|interactivo|sociedad|(?<![a-z])c\.?i\.?(?![a-z])|(?<![a-z])oc(?![a-z])"
+NOISE_NAME = r"iso[_ .-]?\d|certificad|pacto|integridad|reciclaj|etiqueta|p[oó]liza|garant[ií]a|declaraci[oó]n|experiencia|orden[_ .-]?de[_ .-]?compra|energy[_ .-]?star|epeat|blue[_ .-]?angel|gu[ií]a[_ .-]?de[_ .-]?compra|foro"
+
+#: Roles of documents.
+ROLE_PREFIXES = ("economico", "tecnico", "administrativo")
+THOUSANDS_AMOUNT = r"(?<![\w.,])(\d{1,3}(?:[.,]\d{3})+)(?![\d])"
+PRICE_KEY = r"\$|\b(?:neto|iva|valor\s*(?:unit|total|neto)|precio|p\.?\s*unit|monto|subtotal)"
+QUANTITY_KEY = r"\b(?:cantidad|cant\.?|unidades|unid\.?|qty|n[°º]\s*de\s*equipos)\b"
+ADMIN_TEXT = r"declaraci[oó]n\s+jurada|garant[ií]a\s+de\s+seriedad|poder\s+notarial|certificado\s+de|inhabilidad|pacto\s+de\s+integridad|formulario\s+de\s+identificaci"
+TECHNICAL_TEXT = r"procesador|memoria\s+ram|\bram\b|\bssd\b|disco\s+duro|pantalla|sistema\s+operativo|resoluci[oó]n|garant[ií]a\s+\d|especificaci[oó]n"
+COMMON_WORDS = ("notebook", "notebooks", "computador", "computadores", "equipo", "equipos", "monitor", "monitores", "impresora", "impresoras", "intel", "core", "para", "con", "similar", "marca", "modelo", "pulgadas", "pantalla", "memoria", "disco", "windows", "procesador", "unidad", "unidades", "tipo", "linea", "serie", "nuevo", "nueva")
+GENERIC_WORDS = ("notebook", "laptop", "computador", "computadora", "desktop", "equipo", "monitor", "impresora", "multifuncional", "tipo", "unidad", "unidades", "precio", "total")
+EMPTY_WORDS = ("de", "del", "la", "el", "los", "las", "con", "para", "por", "en", "una", "gb", "ram", "ssd")
+
+#: Codes that name a component or a measure, not a model.
+COMPONENT_CODE = r"^(?:\d+(?:gb|tb|mb|hz|mhz|ghz|w|wh|mah|mm|cm|pulg)|ddr\d\w*|lpddr\d\w*|i[3579]-?\d+\w*|r[3579]-?\d+\w*|w1[01]\w*|win1[01]\w*|usb\d?\w*|hdmi\d?\w*|wifi\d?\w*|wi-fi\d?\w*|pcie\d?\w*|gen\d+|\d+th|\d+(?:a|v)|fhd\w*|uhd\w*|wuxga\w*|4k\w*|rtx\w*|gtx\w*|nvme\w*|m\.?2\w*)$"
+
+#: Errors of a model service that go away when asked again.
+TRANSIENT_ERROR = r"channel\s*error|model\s+(?:is\s+)?(?:loading|unloaded)|no\s+models?\s+loaded|connection\s+(?:reset|closed)"

@@ -2,16 +2,43 @@
 
 from __future__ import annotations
 
+import unicodedata
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_ACCENTED = "áàâäãåéèêëíìîïóòôöõúùûüñçýÿÁÀÂÄÃÅÉÈÊËÍÌÎÏÓÒÔÖÕÚÙÛÜÑÇÝ"
-_PLAIN = "aaaaaaeeeeiiiiooooouuuuncyyAAAAAAEEEEIIIIOOOOOUUUUNCY"
+from . import patterns as P
+
+def _decompositions() -> tuple[dict[str, str], dict[str, str]]:
+    """What compatibility decomposition leaves in ASCII of each character: to one character or none, and to several."""
+    one, many = {}, {}
+    for i in range(0x80, 0x10000):
+        c = chr(i)
+        plain = unicodedata.normalize("NFKD", c).encode("ascii", "ignore").decode("ascii")
+        if len(plain) == 1:
+            one[c] = plain
+        elif plain and i < 0x2200 or 0xFB00 <= i <= 0xFB06:
+            many[c] = plain
+    return one, many
+
+
+_ONE, _MANY = _decompositions()
+
+
+def let(value: Column, f: Callable[[Column], Column]) -> Column:
+    """f(value), with value as one term however often f uses it."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
 
 
 def fold(c: Column) -> Column:
-    """Lower case without the accents of Western European letters; other non-ASCII characters go."""
-    return F.lower(F.regexp_replace(F.translate(c, _ACCENTED, _PLAIN), "[^\\x00-\\x7F]", ""))
+    """Lower case, with each character as what compatibility decomposition leaves of it in ASCII: accents go, ligatures and full-width
+    letters become plain ones, other characters vanish. Pure ASCII takes no table."""
+    table = F.split(F.lit("\n".join(x + plain for x, plain in _MANY.items())), "\n")
+    several = F.aggregate(table, c, lambda text, x: F.replace(text, F.substring(x, 1, 1), F.substring(x, F.lit(2), F.length(x))))
+    several = F.when(F.rlike(c, F.lit(f"[{''.join(_MANY)}]")), several).otherwise(c)
+    plain = F.regexp_replace(F.translate(several, "".join(_ONE), "".join(_ONE.values())), "[^\\x00-\\x7F]", "")
+    return F.lower(F.when(F.octet_length(c) == F.char_length(c), c).otherwise(plain))
 
 
 def tokens_text(c: Column) -> Column:
@@ -54,9 +81,22 @@ def model_codes(c: Column) -> Column:
     return F.array_distinct(F.filter(words, lambda w: F.rlike(w, F.lit("[a-z]")) & F.rlike(w, F.lit("[0-9]"))))
 
 
-def distinctive_codes(c: Column, component: str = "^(?:[0-9]+(?:gb|tb|mb|ghz|mhz|hz|w|v|mm|cm|pulg|in)|ddr[0-9]|usb[0-9]*|i[3579][0-9]*|w(?:in)?1[01]p?)$") -> Column:
-    """model_codes() without those that name a component or a measure."""
-    return F.filter(model_codes(c), lambda w: ~F.rlike(w, F.lit(component)))
+def distinctive_codes(c: Column) -> Column:
+    """model_codes() of five characters or more, also with - and / inside, without those that name a component or a measure."""
+    words = F.transform(F.regexp_extract_all(F.coalesce(c, F.lit("")), F.lit("[A-Za-z0-9][A-Za-z0-9\\-/]{3,}"), F.lit(0)), F.lower)
+    good = lambda w: (F.length(w) >= 5) & F.rlike(w, F.lit("[a-z]")) & F.rlike(w, F.lit("[0-9]")) & ~F.rlike(w, F.lit(P.COMPONENT_CODE))
+    return F.array_distinct(F.filter(words, good))
+
+
+def content_tokens(c: Column) -> Column:
+    """Distinct tokens of three characters or more that are no empty words."""
+    return F.filter(tokens(c, 3), lambda w: ~w.isin(*P.EMPTY_WORDS))
+
+
+def page_link(path: Column, page: Column) -> Column:
+    """A path with / between its parts, and an anchor to a page if there is one."""
+    clean = F.regexp_replace(path, r"\\\\", "/")
+    return F.when(page.isNotNull(), F.concat(clean, F.lit("#page="), page.cast("string"))).otherwise(clean)
 
 
 def overlap(a: Column, b: Column) -> Column:
@@ -70,10 +110,11 @@ def safe_name(c: Column, most: int = 120) -> Column:
 
 
 def column_letter(n: Column) -> Column:
-    """Spreadsheet column of a number from 1 to 702."""
-    high = F.floor((n - 1) / 26).cast("int")
-    low = F.char(65 + F.pmod(n - 1, F.lit(26)))
-    return F.when(high == 0, low).otherwise(F.concat(F.char(64 + high), low))
+    """Spreadsheet column of a number from 1 to 18,278 (ZZZ)."""
+    digit = lambda x: F.char(65 + F.pmod(x, F.lit(26)))
+    second = F.floor((n - 1) / 26).cast("int")
+    two = F.concat(digit(second - 1), digit(n - 1))
+    return F.when(n <= 26, digit(n - 1)).when(n <= 702, two).otherwise(F.concat(digit(F.floor((n - 703) / 676).cast("int")), digit(F.floor((n - 703) / 26).cast("int")), digit(n - 703)))
 
 
 def content_id(tender: Column, supplier: Column, *fields: Column) -> Column:

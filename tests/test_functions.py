@@ -43,7 +43,9 @@ def test_normalisers_differ_on_accents(spark):
 
 def test_codes(spark):
     assert one(spark, ["Notebook X100A con 16GB ddr4 y A1B2 abc 1234"], TX.model_codes) == [["x100a", "16gb", "ddr4", "a1b2"]]
-    assert one(spark, ["Notebook X100A con 16GB ddr4 y A1B2"], TX.distinctive_codes) == [["x100a", "a1b2"]]
+    assert one(spark, ["Notebook X100A con 16GB ddr4 y A1B2"], TX.distinctive_codes) == [["x100a"]]
+    assert one(spark, ["HP 15-FC0022LA i5-1335U 512GB B7KF9AT DDR5"], TX.distinctive_codes) == [["15-fc0022la", "b7kf9at"]]
+    assert one(spark, ["Notebook de 14 con 16 gb ram para oficina"], TX.content_tokens) == [["notebook", "oficina"]]
 
 
 @pytest.mark.parametrize(
@@ -76,7 +78,49 @@ def test_document_kind_and_pages(spark):
 
 
 def test_small_ones(spark):
-    assert one(spark, [1, 26, 27, 702], TX.column_letter, "int") == ["A", "Z", "AA", "ZZ"]
+    assert one(spark, [1, 26, 27, 52, 53, 702, 703, 728, 729, 1378, 1379, 18278], TX.column_letter, "int") == ["A", "Z", "AA", "AZ", "BA", "ZZ", "AAA", "AAZ", "ABA", "AZZ", "BAA", "ZZZ"]
     assert one(spark, ["Item 4", "43211503", "4 de 5", None], N.item_number) == [4, None, None, None]
     assert one(spark, [1234567], N.thousands, "long") == ["1.234.567"]
-    assert one(spark, ["a 1.200 b 35 1.200"], N.numbers_in) == [[1200, 35]]
+    assert one(spark, ["a 1.200 b 35 1.200", "1,234,567 y 99,5. 1.409.- 1.2.3 7,", None], N.numbers_in) == [[1200, 35], [1234567, 100, 1409, 7], []]
+    assert one(spark, ["$ 1.234.567 y 999 1,500 x1.000 12.345.678.901"], N.plausible_amounts) == [[1234567, 1500]]
+    assert one(spark, ["650.000,00", "$650.000", "6500001", "650", "65000000", None], lambda c: N.word_is_amount(c, F.lit(650000.0))) == [True, True, False, False, True, False]
+    assert one(spark, ["10,00", "10.00", "(10)", "101", "$10", None], lambda c: N.word_is_whole(c, F.lit(10.0))) == [True, True, True, False, True, False]
+    assert one(spark, [1234567.0, 12.5, 40.0], N.cell_text, "double") == ["1.234.567", "12.5", "40"]
+    assert one(spark, ["$ 4", "$ 9.282.000", None], N.offered_total) == [None, 9282000.0, None]
+
+
+def test_fold_is_compatibility_decomposition(spark):
+    import unicodedata
+
+    values = ["Nº 5 ﬁn", "ＡＢＣ ½ ™", "ÑANDÚ ß Œ Ø", "…x ⅷ", "plain", "", "e\u0301"]
+    assert one(spark, values, TX.fold) == [unicodedata.normalize("NFKD", v).encode("ascii", "ignore").decode().lower() for v in values]
+
+
+@pytest.mark.parametrize(
+    ("path", "text", "want"),
+    [
+        ("a/economico__01__x.pdf", "", "economico"), ("ADMINISTRATIVO__02__precio.pdf", "", "administrativo"), ("Ficha técnica.pdf", "", "tecnico"), ("doc.pdf", "Declaración jurada simple", "administrativo"), ("doc.pdf", "total neto $ 1.250.000", "economico"),
+        ("doc.pdf", "procesador i5, memoria RAM 16, pantalla 14", "tecnico"), ("doc.pdf", "procesador y pantalla", "otro"), ("doc.pdf", None, "otro"),
+    ],
+)
+def test_document_role(spark, path, text, want):
+    df = spark.createDataFrame([(path, text)], "p string, t string")
+    assert df.select(PR.document_role(F.col("p"), F.col("t"))).first()[0] == want
+
+
+def test_attachments_without_an_offer(spark):
+    df = spark.createDataFrame([("administrativo__01__carnet.pdf",), ("administrativo__02__cotizacion_firma.pdf",), ("tecnico__carnet.pdf",), ("x\\administrativo__Poder.pdf",)], "p string")
+    assert [r[0] for r in df.select(PR.administrative_noise(F.col("p"))).collect()] == [True, False, False, True]
+    assert one(spark, ["Declaracion jurada.pdf", "oferta declaracion.pdf", "123-45-SE24.pdf", "plan.pdf"], PR.attachment_noise) == [True, False, True, False]
+    rows = [("", "x.pdf"), ("nada que ver", "x.pdf"), ("Notebook HP", "x.pdf"), ("certificado de equipo notebook", "ISO 9001.pdf"), ("Marca: HP notebook", "garantia.pdf"), ("FILA 1: notebook", "garantia.pdf"), ("Notebook", "orden_de_compra 1.pdf")]
+    df = spark.createDataFrame(rows, "t string, n string")
+    assert [r[0] for r in df.select(PR.no_equipment(F.col("t"), F.col("n"))).collect()] == [True, True, False, True, False, False, True]
+    assert one(spark, ["Channel Error: x", "no model loaded", "connection reset by peer", "timeout", None], PR.transient_error) == [True, True, True, False, False]
+
+
+def test_tables_and_rectangles(spark):
+    df = spark.createDataFrame([([["a", "b"], ["c", None], ["", " "]],), ([["a"], ["b"], ["c", "d"]],), ([[""]],)], "r array<array<string>>")
+    assert [r[0] for r in df.select(PR.table_structured(F.col("r"))).collect()] == [True, False, False]
+    box = "struct<x0:double,top:double,x1:double,bottom:double>"
+    df = spark.createDataFrame([((0.0, 0.0, 1.0, 1.0), [(1.0, 0.0, 2.0, 1.0)]), ((0.0, 0.0, 1.5, 1.0), [(1.0, 0.5, 2.0, 1.0)]), ((0.0, 0.0, 1.0, 1.0), [])], f"b {box}, bs array<{box}>")
+    assert [r[0] for r in df.select(PR.outside(F.col("b"), F.col("bs"))).collect()] == [True, False, True]
