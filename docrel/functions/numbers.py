@@ -48,6 +48,11 @@ def coherent(quantity: Column, unit: Column, total: Column, least: float = 2.0,
     return F.coalesce(F.abs(quantity * unit - total) <= F.greatest(F.lit(least), F.abs(total) * share), F.lit(False))
 
 
+def line_coherent(quantity: Column, unit: Column, total: Column) -> Column:
+    """A line whose three figures are positive and agree to max(2, 0.1 %)."""
+    return F.coalesce((quantity > 0) & (unit > 0) & (total > 0), F.lit(False)) & coherent(quantity, unit, total)
+
+
 def net_of_vat(quantity: Column, unit: Column, total: Column) -> Column:
     """total, or quantity times unit (rounded half to even) where total is that with VAT and not what it is without."""
     net = quantity * unit
