@@ -76,16 +76,19 @@ def crc_mod(column: str, n: int):
     return F.crc32(F.col(column).cast("string").cast("binary")) % n
 
 
-def spread_join(rows: DataFrame, table: DataFrame, key: str, n: str, total: int) -> DataFrame:
-    """rows joined (inner) to table, which has one row a key and in column n how many of the total rows have it.
+def spread_join(rows: DataFrame, table: DataFrame, key: str | list[str], n: str) -> DataFrame:
+    """rows joined (inner) to table, which has one row a key and in column n how many rows have it.
 
-    Keys with over total / HOT_KEYS rows, of which there are fewer than HOT_KEYS, are broadcast, so none of them gathers in one task;
-    the others shuffle. Rows keep their order of columns, then come table's other columns without n.
+    Keys with over 1 / HOT_KEYS of the sum of n, of which there are fewer than HOT_KEYS, are broadcast, so none of them gathers in one
+    task; the others shuffle. table is read several times. Rows keep their order of columns, then come table's other columns without n.
     """
-    most = max(total // HOT_KEYS, 1)
+    keys = [key] if isinstance(key, str) else key
+    most = max(int(table.agg(F.coalesce(F.sum(n), F.lit(0))).first()[0]) // HOT_KEYS, 1)
     hot, rest = table.where(F.col(n) > most).drop(n), table.where(F.col(n) <= most).drop(n)
-    cold = rows.join(F.broadcast(hot.select(key)), key, "left_anti")
-    return rows.join(F.broadcast(hot), key).unionByName(cold.join(rest, key))
+    cold = rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti")
+    more = [c for c in table.columns if c not in (*keys, n)]
+    out = rows.join(F.broadcast(hot), keys).unionByName(cold.join(rest, keys))
+    return out.select(*rows.columns, *more)
 
 
 def chosen_rows(rows: DataFrame, max_rows: int, total: int | None = None) -> DataFrame:

@@ -41,7 +41,7 @@ def _parted(docs: DataFrame, min_chars: int, min_docs: int) -> DataFrame:
     """docs with _docrel_lines and _docrel_kept: all lines of the text, and those that stay."""
     lines = stage(_lines_of(docs, min_chars))
     repeated = stage(repeated_lines(lines, min_docs))
-    found = spread_join(lines, repeated, "line", "n", lines.count())
+    found = spread_join(lines, repeated, "line", "n")
     lost = (
         found.where(~F.col("doc_id").eqNullSafe(F.col("keeper")))
         .groupBy(F.col("doc_id").alias("_docrel_id"), F.col("h").alias("_docrel_h")).agg(F.collect_set("line").alias("_docrel_lost"))

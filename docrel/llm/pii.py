@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stage
+from .common import spread_join, stage
 
 KINDS = ("email", "ip", "card", "phone")
 # fixed values: the base patterns. Possessive loops and the look-behinds only spare the engine restarts inside a run
@@ -132,10 +132,12 @@ def disclosed_terms(docs: DataFrame, threshold: float = DISCLOSURE, level: float
     entities = stage(placed.groupBy("e").agg(F.sum("m").alias("n_e"), F.count("*").alias("texts_e"), F.min("h").alias("h")))
     lone = held.join(entities.where("texts_e = 1").select("h").distinct(), "h", "left_semi")
     lone = lone.select("h", F.explode("t").alias("t"), F.col("m").alias("n_e"), F.col("m").alias("n_et"), F.lit(1).alias("texts_e"), F.lit(1).alias("texts"))
-    shared = entities.where("texts_e > 1").select("e", "n_e", "texts_e")
-    some = held.select("h", F.explode("e").alias("e"), "t", "m").join(shared, "e").select("h", "e", "n_e", "texts_e", "m", F.explode("t").alias("t"))
+    # an entity of a third of all texts is one key: the joins on entities spread such keys
+    shared = entities.where("texts_e > 1").select("e", "n_e", "texts_e", F.col("texts_e").alias("n"))
+    some = spread_join(held.select("h", F.explode("e").alias("e"), "t", "m"), shared, "e", "n").select("h", "e", "n_e", "texts_e", "m", F.explode("t").alias("t"))
     pairs = some.groupBy("e", "n_e", "texts_e", "t").agg(F.sum("m").alias("n_et"), F.count("*").alias("texts"))
-    hit = some.select("h", "e", "t").join(telling(pairs).select("e", "t"), ["e", "t"])
+    told = stage(telling(pairs).select("e", "t", "texts"))
+    hit = spread_join(some.select("h", "e", "t"), told, ["e", "t"], "texts")
     return telling(lone).select("h", "t").union(hit.select("h", "t")).groupBy("h").agg(F.collect_set("t").alias("terms"))
 
 

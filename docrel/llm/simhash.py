@@ -230,7 +230,7 @@ def near_components(docs: DataFrame, width: int = 3, limit: int = 2) -> DataFram
     of = classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", "n", F.coalesce("root", "fp").alias("root"))
     least = of.groupBy("root").agg(F.min("least").alias("component_id"))
     of = stage(of.join(least, "root").select("fp", "component_id", "n"))
-    return spread_join(prints, of, "fp", "n", prints.count()).select("doc_id", "fp", "component_id")
+    return spread_join(prints, of, "fp", "n").select("doc_id", "fp", "component_id")
 
 
 # ---------------------------------------------------------------- alike documents

@@ -15,6 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,6 +37,8 @@ PRIOR_WEIGHT = 5.0
 THRESHOLD = 0.7
 #: Characters of texts whose features are held at once; they take some eighty bytes a character.
 FEATURE_CHARS = 1 << 18
+#: Rows whose features are read together.
+FEATURE_ROWS = 100
 STEMS = (4, 5, 6)
 
 LEXICONS = {
@@ -222,13 +225,17 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_SAMPLE) -> Score
     del kept
     sent = docs.sparkSession.sparkContext.broadcast((index, names))  # at most MAX_FEATURES strings
 
-    def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, named = sent.value
-        for pdf in batches:
-            yield pd.DataFrame({"o": pdf["o"], "toxic": pdf["toxic"], "f": [[number[x] for x in f if x in number] for f in pdf["f"]], "p": [[named[x] for x in p] for p in pdf["p"]]})
+        for batch in batches:
+            for at in range(0, len(batch), FEATURE_ROWS):  # lists of strings are many times larger in Python than in Arrow
+                part = batch.slice(at, FEATURE_ROWS)
+                f, p = part.column("f").to_pylist(), part.column("p").to_pylist()
+                ids, votes = [[number[x] for x in row if x in number] for row in f], [[named[x] for x in row] for row in p]
+                yield pa.RecordBatch.from_arrays([part.column("o"), part.column("toxic"), pa.array(ids, pa.list_(pa.int32())), pa.array(votes, pa.list_(pa.int32()))], names=["o", "toxic", "f", "p"])
 
     # numbers of at most MAX_FEATURES features for max_rows rows
-    table = found.mapInPandas(encode, "o long, toxic int, f array<int>, p array<int>").orderBy("o").toArrow()
+    table = found.mapInArrow(encode, "o long, toxic int, f array<int>, p array<int>").orderBy("o").toArrow()
     toxic, rows = table["toxic"].to_numpy(), _lists(table["f"])
     spot = np.full(len(index), -1, dtype=np.int64)
     spot[[index[f] for f in proposed]] = np.arange(len(proposed))

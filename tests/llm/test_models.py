@@ -138,7 +138,7 @@ def test_ids_pass_untouched(spark):
 def test_spread_join(spark):
     rows = spark.range(3000).select(F.when(F.col("id") < 1200, 7).otherwise(F.col("id") % 40 + 100).alias("k"), "id")
     table = rows.groupBy("k").agg(F.count("*").alias("n"), F.max("id").alias("m")).where("k <> 105")
-    got = common.spread_join(rows, table, "k", "n", 3000)
+    got = common.spread_join(rows, table, "k", "n")
     assert got.columns == ["k", "id", "m"]
     want = rows.join(table.drop("n"), "k")
     assert got.count() == want.count() and got.exceptAll(want).count() == 0
@@ -253,5 +253,63 @@ def test_pipeline(spark, tables, tmp_path):
     assert ran == sorted(map(str, now.collect()))
 
 
+def test_pipeline_against_brute_force(spark, tables, tmp_path):
+    """All stages again, one document at a time in plain Python (the classifier's weights and the mixture's SQL are taken as they are)."""
+    docs, labels = tables
+    r = random.Random(19)
+    passage = [r.choice(PLAIN["en"]) + str(i) for i in range(14)]
+    line = "An ordinary line that stands in many documents"
+    extra = []
+    for i in range(60):
+        words = [f"{r.choice(PLAIN['de'])}{r.randint(0, 30)}" for _ in range(60)]
+        extra.append((2000 + 3 * i, " ".join(words) + ("\n" + line if i % 3 == 0 else ""), "de", f"src{i % 4}", 1))
+        words[r.randrange(60)] = "anders"
+        extra.append((2001 + 3 * i, " ".join(words), "de", "src1", 1))
+        extra.append((2002 + 3 * i, " ".join(words[:30] + (passage if i % 10 == 0 else []) + words[:20]), "de", "src2", 1))
+    extra += [extra[0], (None, "no id here " + " ".join(passage[:9]), "de", None, 1)]
+    whole = docs.unionByName(spark.createDataFrame(extra, docs.schema))
+    for name, df in (("documents", whole), ("labels", labels), ("benchmark", spark.createDataFrame([("q1", " ".join(passage)), ("q2", "anders only")], "item_id string, text string"))):
+        df.write.parquet(f"{tmp_path}/{name}.parquet")
+    scorer = toxicity.fit(whole, labels)
+    rows = [tuple(x) for x in whole.collect()]
+    rows = [x for x in rows if scorer.score(x[1]) < 0.7]
+    key = lambda t: t.strip(" \t\n\x0b\x0c\r").lower()
+    holders = {}
+    for n, x in enumerate(rows):
+        for k in {key(t) for t in (x[1] or "").split("\n")}:
+            if len(k) >= 20:
+                holders.setdefault(k, []).append((n, x[0]))
+    keep = {k: max((i for _, i in v if i is not None), default=None) for k, v in holders.items() if len(v) >= 3}
+    rows = [(x[0], "\n".join(t for t in (x[1] or "").split("\n") if key(t) not in keep or keep[key(t)] == x[0]), *x[2:]) for x in rows]
+    sets = [set(simhash.shingle_set(x[1]).tolist()) for x in rows]
+    root = list(range(len(rows)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if (a == sets[j]) or (a and len(a & sets[j]) / len(a | sets[j]) >= 0.8):
+                root[max(find(i), find(j))] = min(find(i), find(j))
+    groups = {}
+    for i in range(len(rows)):
+        groups.setdefault(find(i), []).append(i)
+    order = lambda i: (rows[i][0] is not None, rows[i][0] or 0, hashlib.md5(rows[i][1].encode()).digest())
+    rows = [rows[min(g, key=order)] for g in groups.values()]
+    windows = {tuple(passage[i : i + 10]) for i in range(5)} | {("anders", "only")}
+    words = lambda t: "".join(c if c.isalnum() or ord(c) > 127 else " " for c in t.lower()).split()
+    hit = lambda w: any(tuple(w[i : i + n]) in windows for n in (2, 10) for i in range(len(w)))
+    rows = [x for x in rows if not hit(words(x[1]))]
+    db = duckdb.connect()
+    db.register("documents", spark.createDataFrame(rows, docs.schema).toArrow())
+    cols = ["doc_id", "domain", "lang", "source", "tokens", "copies", "budget"]
+    want = db.execute(f"SELECT {', '.join(cols)} FROM ({mixing.oracle()})").fetchall()
+    got = corpus_pipeline.run(spark, str(tmp_path)).select(*cols).collect()
+    assert sorted(map(str, want)) == sorted(str(tuple(x)) for x in got)
+    assert 50 < len(rows) < len(whole.collect()) - 60
+
+
 def test_spread_is_stable():
     assert hashlib.sha256(simhash.long_prints("one two three four five six")[0]).hexdigest() == hashlib.sha256(simhash.long_prints("ONE two three four five six")[0]).hexdigest()

@@ -1,6 +1,7 @@
 """Secret scans, PII, fingerprints and decontamination against brute force."""
 
 import hashlib
+import math
 import random
 import re
 
@@ -160,6 +161,45 @@ def test_compare_with_next(spark, docs, rows, parts):
     assert by[203].near_next > 0.9
 
 
+def test_terms_against_brute_force(spark):
+    """Every entity and term by the rule: PMI over IC at least 0.8, and meetings that chance explains to 0.01 at most."""
+    r = random.Random(14)
+    people = ["ana@x.org", "bob@y.org", "+49 30 1234567", "+49 30 7654321"]
+    rare = {p: ["".join(r.choice("abcdefghijk") for _ in range(9)) for _ in range(2)] for p in people}
+    common = ["".join(r.choice("mnopqrstuv") for _ in range(5)) for _ in range(12)]
+    rows = []
+    for i in range(160):
+        words = r.sample(common, 6)
+        if i % 8 == 0:
+            p = people[(i // 8) % 3]  # the last stands in one text only
+            words += [p, *(rare[p] if r.random() < 0.9 else [])]
+        rows.append((i, " ".join(words)))
+    rows += [(200, f"{people[3]} {rare[people[3]][0]} {common[0]}"), (201, rows[0][1]), (201, rows[0][1]), (202, None), (203, "")]
+    entity = lambda t: {p for p in people if p in t}
+    terms = lambda t: set(re.findall(r"[^\W\d_]{4,}", t.lower()))
+    texts = [t or "" for _, t in rows]
+    n, want = len(texts), {}
+    for p in people:
+        holds = [t for t in texts if p in entity(t)]
+        distinct = sorted(set(holds))
+        for w in set().union(*map(terms, holds)) if holds else set():
+            n_t, n_et, n_e = sum(w in terms(t) for t in texts), sum(w in terms(t) for t in holds), len(holds)
+            met, share = sum(w in terms(t) for t in distinct), n_t / n
+            a = met / len(distinct)
+            rest = (len(distinct) - met) * math.log((1 - share) / (1 - a)) if met < len(distinct) else 0.0
+            bound = 1.0 if share >= a else math.exp(met * math.log(share / a) + rest)
+            if math.log(n_et * n / (n_t * n_e)) >= 0.8 * math.log(n / n_e) and bound <= 0.01:
+                for t in distinct:
+                    if w in terms(t):
+                        want.setdefault(t, set()).add(w)
+    got = {}
+    for x in pii.find(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect():
+        found = {x.text[s.start : s.end].lower() for s in x.term} if x.text else set()
+        assert got.setdefault(x.text, found) == found
+    assert {t: f for t, f in got.items() if f} == want
+    assert len(want) > 10 and any(people[3] in t for t in want)
+
+
 def test_compare_with_next_small(spark):
     one = spark.createDataFrame([(1, "hello world")], "doc_id long, text string")
     r = fingerprints.compare_with_next(one).first()
