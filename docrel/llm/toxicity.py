@@ -14,12 +14,11 @@ from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chosen_rows, crc_mod, pieces, stage, with_columns
+from .common import chosen_rows, crc_mod, stage, with_columns
 
 #: Labelled rows, at most, that the models are fitted on, chosen by a hash of the row.
 MAX_SAMPLE = 12_000
@@ -35,10 +34,8 @@ CORRELATED = 0.3
 #: How many times the labelled rows count in the prior of a voter's rates.
 PRIOR_WEIGHT = 5.0
 THRESHOLD = 0.7
-#: Characters of texts whose features are held at once; they take some eighty bytes a character.
-FEATURE_CHARS = 1 << 18
-#: Rows whose features are read together.
-FEATURE_ROWS = 100
+#: Features that a task counts before it passes the counts on.
+HELD_FEATURES = 200_000
 STEMS = (4, 5, 6)
 
 LEXICONS = {
@@ -205,17 +202,32 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_SAMPLE) -> Score
     """Voters, label model and classifier on the bounded sample. Without labelled rows of both classes, the given lexicons alone
     decide. The scorer's report has the number of voters and how often the posteriors agree with the labels."""
 
-    def extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            texts = [t if isinstance(t, str) else None for t in pdf["text"]]
-            for a, b in pieces(texts, FEATURE_CHARS):
-                yield pd.DataFrame({"o": pdf["o"].iloc[a:b], "toxic": pdf["toxic"].iloc[a:b], "f": [sorted(features(t)) for t in texts[a:b]], "p": [pattern_votes(t) for t in texts[a:b]]})
-
-    found = stage(sample(docs, labels, max_rows).mapInPandas(extract, "o long, toxic int, f array<string>, p array<string>"))
+    found = stage(sample(docs, labels, max_rows))
     n_all, n_toxic = found.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     if not n_all or not 0 < n_toxic < n_all:
         return Scorer({f"w:{w}": 4.0 for x in LEXICONS.values() for w in x.split()}, -2.0)
-    seen = found.select("toxic", F.explode("f").alias("f")).groupBy("f").agg(F.count("*").alias("n"), F.sum("toxic").alias("t")).where(F.col("n") >= MIN_DOCS)
+
+    def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # counts combine here, so that a feature is one row for some documents and not one for each
+        n, t = Counter(), Counter()
+
+        def rows() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(list(n)), pa.array(list(n.values()), pa.int64()), pa.array([t[f] for f in n], pa.int64())], names=["f", "n", "t"])
+
+        for batch in batches:
+            for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist(), strict=True):
+                f = features(text)
+                n.update(f)
+                if toxic:
+                    t.update(f)
+                if len(n) >= HELD_FEATURES:
+                    yield rows()
+                    n.clear()
+                    t.clear()
+        if n:
+            yield rows()
+
+    seen = found.mapInArrow(tally, "f string, n long, t long").groupBy("f").agg(F.sum("n").alias("n"), F.sum("t").alias("t")).where(F.col("n") >= MIN_DOCS)
     n, t, clean = F.col("n"), F.col("t"), n_all - n_toxic
     apart = (t / n_toxic - (n - t) / clean) / F.sqrt(n / n_all * (1 - n / n_all) * (1 / n_toxic + 1 / clean) + 1e-12)
     kept = seen.withColumn("z", apart).where(F.abs("z") >= MIN_Z).orderBy(F.desc(F.abs("z")), "f").limit(MAX_FEATURES).collect()
@@ -228,11 +240,10 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_SAMPLE) -> Score
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, named = sent.value
         for batch in batches:
-            for at in range(0, len(batch), FEATURE_ROWS):  # lists of strings are many times larger in Python than in Arrow
-                part = batch.slice(at, FEATURE_ROWS)
-                f, p = part.column("f").to_pylist(), part.column("p").to_pylist()
-                ids, votes = [[number[x] for x in row if x in number] for row in f], [[named[x] for x in row] for row in p]
-                yield pa.RecordBatch.from_arrays([part.column("o"), part.column("toxic"), pa.array(ids, pa.list_(pa.int32())), pa.array(votes, pa.list_(pa.int32()))], names=["o", "toxic", "f", "p"])
+            texts = batch.column("text").to_pylist()
+            ids = [sorted(number[f] for f in features(x) if f in number) for x in texts]
+            marks = [[named[v] for v in pattern_votes(x)] for x in texts]
+            yield pa.RecordBatch.from_arrays([batch.column("o"), batch.column("toxic"), pa.array(ids, pa.list_(pa.int32())), pa.array(marks, pa.list_(pa.int32()))], names=["o", "toxic", "f", "p"])
 
     # numbers of at most MAX_FEATURES features for max_rows rows
     table = found.mapInArrow(encode, "o long, toxic int, f array<int>, p array<int>").orderBy("o").toArrow()
