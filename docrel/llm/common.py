@@ -18,6 +18,8 @@ __all__ = ["ascii_lower", "chosen_rows", "components", "crc_mod", "partitions",
 PIECE_CHARS = 4 << 20
 #: A key with over one part in so many of all rows is joined by broadcast; there can be no more such keys than this.
 HOT_KEYS = 1024
+#: Edges of a graph up to which one task can take all of a node.
+MANY_EDGES = 1 << 20
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 BLANKS = " \t\n\x0b\x0c\r"
@@ -105,26 +107,32 @@ def chosen_rows(rows: DataFrame, max_rows: int, total: int | None = None) -> Dat
     return one.orderBy("o").limit(max_rows)
 
 
-def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+def components(edges: DataFrame, a: str = "a", b: str = "b", many: int = MANY_EDGES) -> DataFrame:
     """Connected components by alternating large and small stars.
 
     edges: two long columns. Returns (node, root): each node of an edge and the smallest node it reaches. Each round
     is two joins with aggregates on the edges that are left; links stay in tables in the shared folder and the
-    driver sees two sums a round. Null ends and loops are dropped.
+    driver sees two sums a round. With over many edges, the hubs of large components are joined by broadcast (spread_join()). Null ends
+    and loops are dropped.
     """
     whole = edges.where(F.col(a).isNotNull() & F.col(b).isNotNull())
     e = stage(whole.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u != v").distinct())
     sign = None
+
+    def with_least(rows: DataFrame, own: bool) -> DataFrame:
+        """rows (u, v) with m, the least v of each u, or u itself where own says so and that is less."""
+        m = F.least("u", F.min("v")) if own else F.min("v")
+        least = rows.groupBy("u").agg(m.alias("m"), F.count("*").alias("n"))
+        return spread_join(rows, stage(least), "u", "n") if now[0] > many else rows.join(least.drop("n"), "u")
+
     while True:
         now = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if tuple(now) == sign or not now[0]:
             break
         sign = tuple(now)
         both = e.select("u", "v").union(e.select(F.col("v"), F.col("u")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        moved = large.join(least, "u")
+        large = with_least(both, True).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
+        moved = with_least(large, False)
         small = moved.select(F.col("v").alias("u"), F.col("m").alias("v")).union(moved.select("u", F.col("m"))).where("u != v").distinct()
         old, e = e, stage(small)
         unstage(old)

@@ -2,8 +2,8 @@
 
 Many voters vote on a bounded sample of the rows that may be learned from: given lexicons and patterns, and lexicon entries (words
 and word beginnings) proposed from labelled rows. A generative model of the votes estimates each voter's accuracy and the correlations
-among voters by EM; it sees votes, never a row's label. Labels propose voters and set the prior of the classes and of each
-voter's rates, as a development set does. A linear classifier over words and word beginnings then learns the posteriors.
+among voters by EM; it sees votes, never a row's label. Labels propose voters, set the prior of the classes and of each
+voter's rates, and calibrate the final score (two numbers), as a development set does. A linear classifier over words and word beginnings learns the posteriors.
 """
 
 from __future__ import annotations
@@ -137,8 +137,8 @@ def linear(rows: list[np.ndarray], target: np.ndarray, n_features: int, epochs:
     return w, bias
 
 
-def calibrate(rows: list[np.ndarray], target: np.ndarray, n_features: int, folds: int = 3, seed: int = 3) -> tuple[float, float]:
-    """Scale and shift that turn raw scores into probabilities, from scores of rows that the weights were not fitted on."""
+def calibrate(rows: list[np.ndarray], target: np.ndarray, marks: np.ndarray, n_features: int, folds: int = 3, seed: int = 3) -> tuple[float, float]:
+    """Scale and shift that turn raw scores into probabilities of the marks, from scores of rows that the weights were not fitted on."""
     fold = np.random.default_rng(seed).integers(0, folds, len(rows))
     raw = np.zeros(len(rows))
     for f in range(folds):
@@ -148,7 +148,7 @@ def calibrate(rows: list[np.ndarray], target: np.ndarray, n_features: int, folds
     scale, shift = 1.0, 0.0
     for _ in range(50):  # Newton's method
         p = 1 / (1 + np.exp(-np.clip(scale * raw + shift, -30, 30)))
-        g, h = p - target, p * (1 - p) + 1e-9
+        g, h = p - marks, p * (1 - p) + 1e-9
         step = np.linalg.solve([[(h * raw * raw).sum() + 1e-3, (h * raw).sum()], [(h * raw).sum(), h.sum() + 1e-3]], [(g * raw).sum(), g.sum()])
         scale, shift = scale - step[0], shift - step[1]
         if np.abs(step).max() < 1e-6:
@@ -260,7 +260,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_SAMPLE) -> Score
     rates = np.array([(np.append(votes[toxic == c].sum(axis=0), none[toxic == c].sum()) + 0.25) / ((toxic == c).sum() + 1) for c in (0, 1)])
     post, model = label_model(votes, prior, rates, (PRIOR_WEIGHT * clean, PRIOR_WEIGHT * n_toxic))
     w, bias = linear(rows, post, len(index))
-    scale, shift = calibrate(rows, post, len(index))
+    scale, shift = calibrate(rows, post, toxic, len(index))
     weights = {f: float(w[i]) for f, i in index.items() if abs(w[i]) > 1e-3}
     agree = float(((post > 0.5) == toxic).mean())
     return Scorer(weights, float(bias), scale, shift, {"rows": len(rows), "voters": votes.shape[1], "agreement": agree, "correlated": int((model["share"] < 1).sum())})

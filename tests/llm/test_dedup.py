@@ -102,10 +102,11 @@ def test_block_masks_are_exact():
             assert any(d & m == 0 for m in masks)
 
 
-def test_components_of_a_path(spark):
-    edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 100), (7, None), (200, 150)], "a long, b long")
-    got = {r.node: r.root for r in components(edges).collect()}
-    assert got == {**dict.fromkeys(range(41), 0), 150: 150, 200: 150}
+@pytest.mark.parametrize("many", [1 << 20, 0])
+def test_components_of_a_path(spark, many):
+    edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 100), (7, None), (200, 150)] + [(500, 501 + i) for i in range(60)], "a long, b long")
+    got = {r.node: r.root for r in components(edges, many=many).collect()}
+    assert got == {**dict.fromkeys(range(41), 0), 150: 150, 200: 150, **dict.fromkeys(range(500, 561), 500)}
     assert components(edges.limit(0)).count() == 0
 
 
