@@ -9,28 +9,48 @@ from docrel.llm.common import read, stage
 
 
 def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier rejects go."""
+    """Documents that the classifier rejects go.
+
+    Each row is judged by its whole text: null and empty texts score what a text without words does, which is not toxic; equal rows share their fate, and
+    null doc_ids matter as little as other columns, which stay as they are. An empty table gives an empty result; without labels of both classes the
+    given lexicons decide.
+    """
     scorer = toxicity.fit(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
     return toxicity.drop_toxic(docs, scorer)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeated lines go; every document stays, with what is left of its text."""
+    """Repeated lines go; every document stays, with what is left of its whole text.
+
+    Null texts become empty, a document may become empty; the largest doc_id keeps the line, all rows that share it too, and null is less than
+    any. Other columns stay as they are, whatever their names. An empty table gives an empty result.
+    """
     return linededup.drop_lines(docs)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of like documents stays."""
+    """One document of each group of like documents stays: the smallest doc_id, null first, ties by a hash of the text.
+
+    Whole texts count. Null and empty texts are one group, and so are equal texts; repeated rows stay once. Columns stay as they are. An empty table gives an empty result.
+    """
     return simhash.near_dedup(docs)
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a window of a benchmark item go."""
+    """Documents that hold a window of a benchmark item go.
+
+    Whole texts are searched; null and empty texts hold none and stay. Repeated rows stay or go together; doc_ids, null too, and other columns do not matter and stay as they are.
+    Items without id or words match nothing; an empty table gives an empty result.
+    """
     return decontam.decontaminate(docs, read(spark, sf_dir, "benchmark"))
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that the target weights choose, with how often each is taken."""
+    """The documents that the target weights choose, with how often each is taken.
+
+    Null lang and source are the value unknown; documents without words (null, empty) cost nothing and come with any prefix they lie in; rows that tie in the seeded order, as repeated
+    ones do, stand or fall together. Only the mixture's columns come out. An empty table gives an empty result.
+    """
     return mixing.mix(docs)
 
 
