@@ -12,7 +12,7 @@ from ..functions import numbers as N
 from ..functions import patterns as P
 from ..functions import products as PR
 from ..functions import text as TX
-from ..operators import evaluation, evidence, extract, link, merge, reports, validate, window
+from ..operators import evaluation, evidence, extract, layout, link, merge, reports, validate, window
 from ..sources import catalog, readers
 from ..sources import html as H
 from ..store import stage
@@ -1088,3 +1088,69 @@ def brands_of_file_names(spark, d):
     names = F.when(k % 4 == 0, F.array(F.lit("tecnico/Ficha_HP_ProOne_245_G10_AIO.pdf"), F.lit("economico_Dell_AIO.pdf"))).when(k % 4 == 1, F.array(F.lit("x.pdf"))).when(k % 4 == 2, F.array(F.lit("ficha-ThinkPad-L14.pdf"))).otherwise(F.array(F.lit("ficha-ThinkPad-L14.pdf"), F.lit("ficha notebook dell.pdf")))
     files = s.select("s_suppkey", F.explode(names).alias("file"))
     return evidence.brands_by_file_name(products, files, ["s_suppkey"])
+
+
+@query("SELECT o_orderpriority AS \"Mes\", o_orderkey AS k, o_orderstatus AS s FROM orders WHERE o_orderkey % 9 > 0")
+def sheet_union(spark, d):
+    """Sheets under one another in the first one's columns, without empty rows."""
+    full = F.col("o_orderkey") % 9 > 0
+    part = _t(spark, d, "orders").select("o_orderpriority", F.when(full, F.col("o_orderkey")).alias("k"), F.when(full, F.col("o_orderstatus")).otherwise("").alias("s"))
+    names = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
+    sheets = {n: part.where(F.col("o_orderpriority") == n).drop("o_orderpriority") for n in names}
+    sheets["2-HIGH"] = sheets["2-HIGH"].withColumn("more", F.lit("")).select("more", "s", "k")
+    return reports.yearly_union(sheets)
+
+
+@query("SELECT p_brand, count(*) AS n, CAST(sum(p_size) AS BIGINT) AS total FROM part WHERE p_brand NOT IN ('Brand#11', 'Brand#12') GROUP BY 1 UNION ALL SELECT 'TOTAL', count(*), CAST(sum(p_size) AS BIGINT) FROM part WHERE p_brand NOT IN ('Brand#11', 'Brand#12')")
+def total_row(spark, d):
+    """A summary without some groups, and a row of its totals."""
+    kept = reports.allowed(_t(spark, d, "part"), "p_brand", never=["Brand#11", "Brand#12"])
+    rows = kept.groupBy("p_brand").agg(F.count("*").alias("n"), F.sum("p_size").alias("total"))
+    return reports.with_total(rows, "p_brand", ["n", "total"])
+
+
+@query("SELECT conv_id, turn FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS i FROM conversations) WHERE role = 'user' OR i <= 3")
+def fragment_limits(spark, d):
+    """All fragments of one kind and the first three of the others."""
+    c = _t(spark, d, "conversations").select("conv_id", "turn", F.col("turn").alias("n"), (F.col("role") == "user").alias("economic"))
+    return reports.first_fragments(c, ["conv_id"]).select("conv_id", "turn")
+
+
+@query("SELECT doc_id, i AS line_no, array_to_string(list_slice(string_split(line, ' '), 1, 4), ' ') AS cells FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS i FROM documents) WHERE i < 3")
+def capped_sheets(spark, d):
+    """The first rows of each sheet and the first cells of each row."""
+    rows = _t(spark, d, "documents").select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line")).withColumn("cells", F.split("line", " ", -1))
+    return reports.within_caps(rows, ["doc_id"], "line_no", 3, 4).select("doc_id", F.col("line_no").cast("long").alias("line_no"), F.array_join("cells", " ").alias("cells"))
+
+
+@query("SELECT s_nationkey, bool_and(s_suppkey % 10 > 0) AS covered, array_to_string(list_sort(list(DISTINCT CAST(p AS INTEGER))), ' ') AS pages FROM supplier, LATERAL (SELECT unnest([s_suppkey % 7, s_suppkey % 5]) AS p) GROUP BY 1")
+def sets_by_key(spark, d):
+    """Whether all of a key are done, and the union of two sets of pages."""
+    s = _t(spark, d, "supplier")
+    done = reports.covers(s.select("s_nationkey", "s_suppkey"), s.where("s_suppkey % 10 > 0"), ["s_nationkey"], "s_suppkey")
+    page = lambda n: s.select("s_nationkey", (F.col("s_suppkey") % n).cast("int").alias("page"))
+    pages = reports.page_union(page(7), page(5), ["s_nationkey"])
+    return done.join(pages.select("s_nationkey", F.array_join("pages", " ").alias("pages")), "s_nationkey")
+
+
+@query("SELECT source, count(*) AS n, row_number() OVER (ORDER BY count(*) DESC, source) AS place FROM documents GROUP BY 1")
+def histogram_order(spark, d):
+    """A histogram, most common first."""
+    h = reports.histogram(_t(spark, d, "documents"), "source")
+    return h.withColumn("place", F.row_number().over(W.orderBy(F.desc("n"), "source")).cast("long"))  # as many rows as sources
+
+
+@query("""
+SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN 'exacto' WHEN 1 THEN 'parcial' WHEN 2 THEN 'exacto' ELSE 'descripcion_no_coincide' END AS located, CASE p_partkey % 4 WHEN 1 THEN 'unit' ELSE '' END AS missing FROM part
+""")
+def layout_evidence(spark, d):
+    """The line of words with places that bears a product out."""
+    k = F.col("p_partkey")
+    p = _t(spark, d, "part").select(k, F.lit("t").alias("tender"), (k % 50).alias("supplier"))
+    products = p.select("tender", "supplier", k.alias("seq"), F.lit("Notebook").alias("product"), F.concat(F.lit("MX"), k.cast("string"), F.lit("Z")).alias("model"), (k * 1000).cast("double").alias("unit"), (k * 2000).cast("double").alias("total"), F.lit(2.0).alias("quantity"))
+    word = lambda x, dy, text: F.struct(F.lit(float(x)).alias("x0"), (k * 20.0 + dy).alias("top"), F.lit(float(x + 40)).alias("x1"), (k * 20.0 + dy + 8).alias("bottom"), text.alias("text"))
+    code = F.when(k % 4 == 3, F.concat(F.lit("QQ"), k.cast("string"), F.lit("R"))).otherwise(F.concat(F.lit("mx"), k.cast("string"), F.lit("z")))
+    unit = F.when(k % 4 == 1, F.lit("x")).otherwise(N.thousands(k * 1000))
+    line = F.array(word(10, 0.0, F.lit("notebook")), word(60, 1.0, code), word(110, 0.5, F.lit("2")), word(160, 0.0, F.concat(F.lit("$"), unit)), word(210, 0.0, F.concat(N.thousands(k * 2000), F.lit(",00"))))
+    words = p.select("tender", "supplier", F.lit("a.pdf").alias("file"), F.lit(1).alias("page"), F.explode(line).alias("w")).select("tender", "supplier", "file", "page", "w.*")
+    return layout.line_evidence(products, words, ["tender", "supplier"]).select(F.col("seq").alias("p_partkey"), "located", F.array_join("missing", " ").alias("missing"))
