@@ -112,6 +112,9 @@ ROLE_PREFIXES = ("economico", "tecnico", "administrativo")
 THOUSANDS_AMOUNT = r"(?<![\w.,])(\d{1,3}(?:[.,]\d{3})+)(?![\d])"
 PRICE_KEY = r"\$|\b(?:neto|iva|valor\s*(?:unit|total|neto)|precio|p\.?\s*unit|monto|subtotal)"
 QUANTITY_KEY = r"\b(?:cantidad|cant\.?|unidades|unid\.?|qty|n[°º]\s*de\s*equipos)\b"
+GENERIC_LINE = r"\b(?:computador(?:es)?|notebooks?|equipos?|monitor(?:es)?|impresoras?|all\s*in\s*one|aio|pc|laptops?)\b"
+UNIT_PRICE = r"(?:valor|precio)\s*unitario|p\.\s*unit"
+SMALL_NUMBER = r"(?<![\w.,/-])\d{1,4}(?![\w.,/-])"
 ADMIN_TEXT = r"declaraci[oó]n\s+jurada|garant[ií]a\s+de\s+seriedad|poder\s+notarial|certificado\s+de|inhabilidad|pacto\s+de\s+integridad|formulario\s+de\s+identificaci"
 TECHNICAL_TEXT = r"procesador|memoria\s+ram|\bram\b|\bssd\b|disco\s+duro|pantalla|sistema\s+operativo|resoluci[oó]n|garant[ií]a\s+\d|especificaci[oó]n"
 COMMON_WORDS = ("notebook", "notebooks", "computador", "computadores", "equipo", "equipos", "monitor", "monitores", "impresora", "impresoras", "intel", "core", "para", "con", "similar", "marca", "modelo", "pulgadas", "pantalla", "memoria", "disco", "windows", "procesador", "unidad", "unidades", "tipo", "linea", "serie", "nuevo", "nueva")

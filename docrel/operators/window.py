@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.products import document_kind
+from ..store import stage
 
 
 def ordinal(df: DataFrame, key: list[str], *order: Column | str, keep: Column | None = None, name: str = "ordinal") -> DataFrame:
@@ -36,3 +37,16 @@ def context(rows: DataFrame, targets: DataFrame, key: list[str], line: str = "li
     """The rows around each target row of a key: an equality join on the few line numbers that lie near."""
     near = targets.select(*key, F.col(line).alias("target"), F.explode(F.sequence(F.col(line) - span, F.col(line) + span)).alias(line))
     return near.join(rows, [*key, line])
+
+
+def placed(rows: DataFrame, *order: str, name: str = "place") -> DataFrame:
+    """rows with their place, from 0, in a total order, without sorting all of them in one task.
+
+    Rows are dealt and sorted by ranges; a row's place is its place in its range and the number of rows in the ranges before, of which there are a few. Columns of
+    order must tell rows apart.
+    """
+    dealt = rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_id", F.monotonically_increasing_id())
+    kept = stage(dealt.select("*", F.shiftright("_id", 33).alias("_range"), F.col("_id").bitwiseAND((1 << 33) - 1).alias("_at")).drop("_id"))
+    sizes = kept.groupBy("_range").agg(F.count("*").alias("_n"))
+    before = sizes.select("_range", (F.sum("_n").over(W.orderBy("_range")) - F.col("_n")).alias("_before"))  # one row a range
+    return kept.join(F.broadcast(before), "_range").withColumn(name, F.col("_before") + F.col("_at")).select(*rows.columns, name)

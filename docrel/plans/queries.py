@@ -371,7 +371,7 @@ def verified_triples(spark, d):
 @query(f"WITH {_LINES} SELECT tender, CASE WHEN CAST(tender AS BIGINT) % 2 = 0 THEN 1 ELSE 0 END AS line_no, 'MONITORES' AS kind, CAST(sum(q) AS INTEGER) AS quantity, CAST(sum(q * u) AS DOUBLE) AS total, CAST(tender AS BIGINT) % 2 = 0 AS vat FROM lines GROUP BY tender HAVING sum(q * u) >= 50000 UNION ALL SELECT tender, n - 1, description, q, CAST(q * u AS DOUBLE), false FROM lines WHERE u < 50000 AND q * u >= 50000")
 def aggregate_rows(spark, d):
     """Rows of a count, a kind and one amount."""
-    return extract.aggregate_rows(_blocks(spark, d)).select("tender", "line_no", "kind", "quantity", "total", "vat")
+    return extract.aggregate_rows(_blocks(spark, d)).select("tender", F.col("line_no").cast("long").alias("line_no"), "kind", "quantity", "total", "vat")
 
 
 @query()
@@ -737,11 +737,11 @@ def log_start_end(spark, d):
     return incremental.pair_log(_t(spark, d, "events").select("user_id", "event_id", "ts", kind.alias("event")), ["user_id"])
 
 
-@query("SELECT s_suppkey, s_name, (s_suppkey - (SELECT min(s_suppkey) FROM supplier)) // 40 AS page FROM supplier")
+@query("SELECT o_orderkey, (row_number() OVER (ORDER BY o_totalprice, o_orderkey) - 1) // 40 AS page FROM orders")
 def result_pages(spark, d):
-    """Pages of 40 rows by a dense key: no global sort."""
-    s = _t(spark, d, "supplier")
-    return s.join(F.broadcast(s.agg(F.min("s_suppkey").alias("_m")))).select("s_suppkey", "s_name", F.floor((F.col("s_suppkey") - F.col("_m")) / 40).cast("long").alias("page"))
+    """Pages of 40 rows in the order of a column, without a sort of all rows in one task."""
+    o = _t(spark, d, "orders").select("o_orderkey", "o_totalprice")
+    return window.placed(o, "o_totalprice", "o_orderkey").select("o_orderkey", F.floor(F.col("place") / 40).cast("long").alias("page"))
 
 
 @query("""

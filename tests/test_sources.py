@@ -5,7 +5,7 @@ import json
 import zipfile
 
 import pytest
-from docrel.operators import evaluation, evidence, extract, layout, link, reports
+from docrel.operators import evaluation, evidence, extract, layout, link, reports, window
 from docrel.sources import catalog, office, readers
 from docrel.streaming import incremental
 from pyspark.sql import functions as F
@@ -224,3 +224,10 @@ def test_line_hints(spark):
     text = "Notebook HP\nPrecio $ 500\nnada\n" + "x" * 400
     got = spark.createDataFrame([(text,)], "t string").select(extract.line_hints(F.col("t")).alias("h")).first().h
     assert (got.products, got.prices) == (["Notebook HP"], ["Precio $ 500"])
+
+
+def test_places(spark):
+    rows = spark.range(1000).select((F.col("id") * 37 % 1000).alias("k"), (F.col("id") * 37 % 1000 / 7).cast("int").alias("g")).repartition(5)
+    got = sorted((r.place, r.k) for r in window.placed(rows, "g", "k").collect())
+    assert got == [(i, i) for i in range(1000)]
+    assert window.placed(rows.limit(0), "g", "k").count() == 0
