@@ -41,6 +41,32 @@ def fold(c: Column) -> Column:
     return F.lower(F.when(F.octet_length(c) == F.char_length(c), c).otherwise(plain))
 
 
+def _capitals() -> tuple[dict[str, str], str]:
+    """The one capital of each character that has one, and the characters that full case mapping would make several or that got theirs after Unicode 15.1."""
+    one, several = {"ß": "ẞ"}, []
+    for i in range(0x80, 0x110000):
+        c = chr(i)
+        up = c.upper()
+        if len(up) > 1:
+            several.append(c)
+            up = c.title() if len(c.title()) == 1 else c
+        if up != c:
+            one.setdefault(c, up)
+    return one, "".join(several)
+
+
+_CAPITALS, _SEVERAL = _capitals()
+_LATER = "\u019b\u0264\u1c8a\ua7cd\ua7db" + "".join(map(chr, range(0x10D70, 0x10D86)))
+
+
+def capitals(c: Column) -> Column:
+    """Upper case character by character, as DuckDB's upper(): ß becomes ẞ, and what has no single capital stays. Only texts in which Spark's upper() would do
+    otherwise take the table."""
+    plain = "abcdefghijklmnopqrstuvwxyz"
+    table = F.translate(c, plain + "".join(_CAPITALS), plain.upper() + "".join(_CAPITALS.values()))
+    return F.when(F.rlike(c, F.lit(f"[{_SEVERAL}{_LATER}]")), table).otherwise(F.upper(c))
+
+
 def tokens_text(c: Column) -> Column:
     """Lower case, with each run of anything but a-z and 0-9 as one blank. Accents separate; they are not folded."""
     return F.trim(F.regexp_replace(F.lower(c), "[^a-z0-9]+", " "))

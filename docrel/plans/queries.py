@@ -858,7 +858,7 @@ def multi_filter(spark, d):
     out = _t(spark, d, "documents")
     for p in wanted.values():
         out = out if p is None else out.where(p)
-    return out.select("doc_id", F.md5(F.upper("text")).alias("h"), F.length("text").cast("long").alias("n"))
+    return out.select("doc_id", F.md5(TX.capitals(F.col("text"))).alias("h"), F.length("text").cast("long").alias("n"))
 
 
 @query("SELECT r_name, n_name, c_mktsegment, count(*) AS n, bool_or(c_acctbal > 9000) AS any_rich, bool_and(c_acctbal > -500) AS all_fine FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY ALL")
