@@ -42,19 +42,20 @@ def line_evidence(products: DataFrame, words: DataFrame, key: list[str]) -> Data
     """The line of a product's documents that bears it out best: found by a word that writes its unit price or total, with the words whose middle lies in that
     word's band. Most figures win, then the nearest name, then the first place.
 
-    Words and amounts meet by their digits, bands and words by cells of height, so neither join pairs all of a page.
+    Words and amounts meet by their digits, bands and words by cells of height, so neither join pairs all of a page. Both are merge joins: of exploded rows Spark
+    guesses too small a size, and would bring all words to the driver to broadcast them.
     """
     digits = F.regexp_replace("text", "[^0-9]", "")
     seeds = words.select(*key, "file", "page", "top", "bottom", F.col("x0").alias("_at"), digits.alias("_d")).where("_d <> ''")
     amount = lambda c: F.filter(F.array(digits_of(F.col(c)), F.concat(digits_of(F.col(c)), F.lit("0")), F.concat(digits_of(F.col(c)), F.lit("00"))), lambda x: x.isNotNull())
     own = [*key, "seq", "product", "model", *_FIGURES]
     wanted = products.select(*own, F.explode(F.array_distinct(F.concat(amount("unit"), amount("total")))).alias("_d"))
-    bands = wanted.join(seeds, [*key, "_d"]).select(*own, "file", "page", "top", "bottom").distinct()
+    bands = wanted.join(seeds.hint("merge"), [*key, "_d"]).select(*own, "file", "page", "top", "bottom").distinct()
     cell = 10.0
     cells = F.sequence(F.floor(F.col("top") / cell).cast("int"), F.floor(F.col("bottom") / cell).cast("int"))
     middle = (F.col("top") + F.col("bottom")) / 2
     w = words.select(*key, "file", "page", middle.alias("_y"), F.floor(middle / cell).cast("int").alias("_c"), F.col("x0").alias("_x0"), F.col("text").alias("_w"))
-    both = bands.withColumn("_c", F.explode(cells)).join(w, [*key, "file", "page", "_c"]).where(F.col("_y").between(F.col("top"), F.col("bottom")))
+    both = bands.withColumn("_c", F.explode(cells)).join(w.hint("merge"), [*key, "file", "page", "_c"]).where(F.col("_y").between(F.col("top"), F.col("bottom")))
     lines = both.groupBy(*own, "file", "page", "top", "bottom").agg(F.collect_list(F.struct(F.col("_x0").alias("x0"), F.col("_w").alias("text"))).alias("words"))
     found = _judged(lines, [*key, "seq", "file", "page", "top"])
     rank = F.when(F.col("located") == "exacto", 0).when(F.col("located") == "parcial", 1).otherwise(2)
