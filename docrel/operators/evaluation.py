@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
+import itertools
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..functions.products import brand
 from ..functions.text import alnum_key
-from .merge import by_group, match_gold
+from .merge import match_figures
 
 ITEM = "struct<tipo:string,marca:string,cantidad:double,precio_unitario:double,precio_total:double,ambiguo:boolean>"
 _MATCH = "tender string, supplier string, kind string, gold_type string, gold_brand string, gold_quantity double, gold_unit double, gold_total double, type string, brand string, quantity double, unit double, total double, state string"
@@ -29,21 +36,43 @@ def matched(gold: DataFrame, products: DataFrame) -> DataFrame:
     g = gold.where("seq IS NOT NULL").select("tender", "supplier", F.lit(0).alias("side"), F.col("seq").cast("long").alias("seq"), "type", "brand", "quantity", "unit", "total", F.lit(None).cast("string").alias("state"), "ambiguous")
     p = products.join(gold.select("tender", "supplier").distinct(), ["tender", "supplier"], "left_semi").select("tender", "supplier", F.lit(1).alias("side"), F.col("seq").cast("long").alias("seq"), "type", "brand", "quantity", "unit", "total", "state", F.lit(False).alias("ambiguous"))
 
-    def run(rows: list[dict]) -> list[dict]:
-        want, found = [r for r in rows if r["side"] == 0], [r for r in rows if r["side"] == 1]
-        pairs = match_gold(want, found)
-        used = {i for _, i in pairs if i is not None}
-        out = []
-        for n, i in pairs:
-            w = want[n]
-            of = {"gold_" + f: w[f] for f in ("type", "brand", "quantity", "unit", "total")}
-            hit = {f: found[i][f] for f in ("type", "brand", "quantity", "unit", "total", "state")} if i is not None else {}
-            kind = "ambiguo" if w["ambiguous"] else "par" if i is not None else "falta"
-            out.append({"tender": w["tender"], "supplier": w["supplier"], "kind": kind} | of | hit)
-        rest = [f for i, f in enumerate(found) if i not in used]
-        return out + [{"kind": "sobra"} | {f: r[f] for f in ("tender", "supplier", "type", "brand", "quantity", "unit", "total", "state")} for r in rest]
-
-    return by_group(g.unionByName(p), ["tender", "supplier"], ["side", "seq"], run, _MATCH)
+    key, figures, columns = ["tender", "supplier"], ("type", "brand", "quantity", "unit", "total"), [c.split()[0] for c in _MATCH.split(", ")]
+    dealt = g.unionByName(p).repartition(*key).sortWithinPartitions(*key, "side", "seq")
+    schema = gold.sparkSession.createDataFrame([], _MATCH).schema
+    arrow = to_arrow_schema(schema)
+
+    def settle(rows: pa.Table) -> list[pa.RecordBatch]:
+        """One supplier's gold items and products, as columns: only prices and quantities become Python values."""
+        n = pc.sum(pc.equal(rows["side"], 0)).as_py()
+        want, found = rows.slice(0, n), rows.slice(n)
+        hits = match_figures(*[t[f].to_pylist() for t in (want, found) for f in ("unit", "quantity")])
+        at = pa.array(hits, pa.int64())
+        hit = found.take(at)
+        kind = pc.if_else(want["ambiguous"], "ambiguo", pc.if_else(pc.is_valid(at), "par", "falta"))
+        whole = {c: want[c] for c in key} | {"kind": kind} | {"gold_" + f: want[f] for f in figures} | {c: hit[c] for c in (*figures, "state")}
+        free = np.ones(found.num_rows, bool)
+        free[at.drop_null().to_numpy(zero_copy_only=False)] = False
+        more = found.filter(pa.array(free))
+        spare = {c: more[c] for c in (*key, *figures, "state")} | {"kind": pa.repeat(pa.scalar("sobra"), more.num_rows)} | {"gold_" + f: pa.nulls(more.num_rows, want.schema.field(f).type) for f in figures}
+        return [b for t in (whole, spare) for b in pa.table({c: t[c] for c in columns}).cast(arrow).to_batches(max_chunksize=65_536)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        last = None
+        for batch in batches:
+            names = list(zip(*[batch.column(k).to_pylist() for k in key], strict=True))
+            cuts = [i for i in range(1, len(names)) if names[i] != names[i - 1]]
+            for i, j in itertools.pairwise([0, *cuts, len(names)]):
+                if j > i and held and names[i] != last:
+                    yield from settle(pa.Table.from_batches(held))
+                    held = []
+                if j > i:
+                    held.append(batch.slice(i, j - i))
+                    last = names[i]
+        if held:
+            yield from settle(pa.Table.from_batches(held))
+
+    return dealt.mapInArrow(run, schema)
 
 
 def _same_brand(a: Column, b: Column) -> Column:
@@ -53,17 +82,22 @@ def _same_brand(a: Column, b: Column) -> Column:
 
 def score(pairs: DataFrame) -> DataFrame:
     """One row: recall, precision, accuracies of brand, type, quantity and total among found items, complete reliability, and precision and recall of products
-    in state ok, to three places. * in gold stands for anything; a gold item without brand wants none. Ambiguous items neither add nor take."""
+    in state ok, to three places. * in gold stands for anything; a gold item without brand wants none. Ambiguous items neither add nor take.
+
+    Pairs are counted by kind, names and whether their figures agree, before names are compared: that costs far more than all else.
+    """
     par = F.col("kind") == "par"
     near_total = F.coalesce(F.abs(F.col("total") - F.col("gold_total")) <= F.greatest(F.lit(2.0), F.col("gold_total") * 0.001), F.lit(False))
     brand_ok = F.when(F.col("gold_brand") == "*", True).when(F.coalesce("gold_brand", F.lit("")) == "", F.coalesce("brand", F.lit("")) == "").otherwise(_same_brand(F.col("brand"), F.col("gold_brand")))
     type_ok = (F.col("gold_type") == "*") | (alnum_key(F.coalesce("type", F.lit(""))) == alnum_key(F.coalesce("gold_type", F.lit(""))))
-    good = {"b": brand_ok, "t": type_ok, "q": F.coalesce(F.col("quantity") == F.col("gold_quantity"), F.lit(False)), "n": near_total}
-    x = pairs.withColumns({k: par & F.coalesce(v, F.lit(False)) for k, v in good.items()})
-    ok = F.coalesce(F.col("state") == "ok", F.lit(False))
+    figures = {"q": F.coalesce(F.col("quantity") == F.col("gold_quantity"), F.lit(False)), "n": near_total, "ok": F.coalesce(F.col("state") == "ok", F.lit(False))}
+    names = ["kind", "gold_brand", "brand", "gold_type", "type"]
+    x = pairs.select(*names, *[v.alias(k) for k, v in figures.items()]).groupBy(*names, *figures).agg(F.count("*").alias("pairs"))
+    x = x.withColumns({"b": F.coalesce(brand_ok, F.lit(False)), "t": F.coalesce(type_ok, F.lit(False))})
+    many = lambda c: F.coalesce(F.sum(F.when(c, F.col("pairs"))), F.lit(0).cast("long"))
     s = x.agg(
-        F.count_if(F.col("kind").isin("par", "falta")).alias("gold"), F.count_if(par).alias("found"), F.count_if(F.col("kind") == "sobra").alias("fp"), *[F.count_if(k).alias("n_" + k) for k in good],
-        F.count_if(F.col("b") & F.col("t") & F.col("q") & F.col("n")).alias("whole"), F.count_if(ok).alias("ok"), F.count_if(par & ok & F.col("n")).alias("ok_good"),
+        many(F.col("kind").isin("par", "falta")).alias("gold"), many(par).alias("found"), many(F.col("kind") == "sobra").alias("fp"), *[many(par & F.col(k)).alias("n_" + k) for k in "btqn"],
+        many(par & F.col("b") & F.col("t") & F.col("q") & F.col("n")).alias("whole"), many(F.col("ok")).alias("ok"), many(par & F.col("ok") & F.col("n")).alias("ok_good"),
     )
     share = lambda a, b: F.bround(F.coalesce(F.try_divide(F.col(a), b), F.lit(0.0)), 3)
     found, gold = F.col("found"), F.col("gold")
